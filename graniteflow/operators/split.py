@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graniteflow.functions.hashing import hash_int, hash_unit
@@ -34,14 +34,20 @@ def shuffle(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     return df.orderBy(hash_int(key, seed=seed), key)
 
 
-def bootstrap(df: DataFrame, key: str, rounds: int, seed: int = 0, longest: int = 8) -> DataFrame:
-    """Poisson(1) weight of every row in every resample; weight 0 = out of bag."""
-    steps, mass, cumulated = [], math.exp(-1.0), 0.0
+def bootstrap_weight(key, resample, seed: int = 0, longest: int = 8) -> Column:
+    """Poisson(1) weight of a row in one resample, from a hash of (key, resample)."""
+    u = hash_unit(key, resample, seed=seed)
+    mass, cumulated, steps = math.exp(-1.0), 0.0, []
     for j in range(longest):
         cumulated += mass
-        steps.append(cumulated)
+        steps.append((u >= F.lit(cumulated)).cast("bigint"))
         mass /= j + 1
+    return sum(steps[1:], steps[0])
+
+
+def bootstrap(df: DataFrame, key: str, rounds: int, seed: int = 0) -> DataFrame:
+    """Weight of every row in every resample; weight 0 = out of bag."""
     out = df.withColumn("resample", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
-    u = hash_unit(key, "resample", seed=seed)
-    weight = sum((u >= F.lit(s)).cast("bigint") for s in steps)
-    return out.withColumn("weight", weight).withColumn("out_of_bag", F.col("weight") == 0)
+    return out.withColumn("weight", bootstrap_weight(key, "resample", seed)).withColumn(
+        "out_of_bag", F.col("weight") == 0
+    )
