@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -71,3 +72,11 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
+
+
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """Broadcast a join side whose counted size is within the limit; else leave the join to the planner."""
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
