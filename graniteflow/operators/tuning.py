@@ -49,8 +49,9 @@ class MacroF1(Evaluator):
 
 def in_threads(tasks: list[Callable], parallelism: int) -> list:
     """Run driver-side calls a few at a time; results in task order."""
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(task)) for task in tasks]]
+        return [f.result() for f in [pool.submit(inherit(task)) for task in tasks]]
 
 
 class PrefixCache:

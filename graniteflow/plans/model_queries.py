@@ -102,14 +102,14 @@ def logistic_l1(t):
 @query("linear_svm")
 def linear_svm(t):
     rows = labelled_docs(t).persist()
-    runs = [classify.linear_svm(rows, c).transform(rows).select(F.lit(c).alias("c"), "label", "prediction") for c in (0.01, 100.0)]
+    runs = [classify.linear_svm(rows, c, max_iter=30).transform(rows).select(F.lit(c).alias("c"), "label", "prediction") for c in (0.01, 100.0)]
     return metrics.binary_metrics(stats.union_all(runs), "label", "prediction", 1.0, ["c"])
 
 
 @query("one_vs_one")
 def one_vs_one(t):
     rows = labelled_docs(t).withColumn("label", F.col("lang_no"))
-    model = classify.one_vs_one(rows, lambda part: classify.linear_svm(part, 1.0))
+    model = classify.one_vs_one(rows, lambda part: classify.linear_svm(part, 1.0, max_iter=20))
     return model.transform(rows).select("doc_id", "lang", "prediction")
 
 
@@ -226,7 +226,7 @@ def search_one_param(t):
     rows = split.with_fold(labelled_docs(t), "doc_id", 3, seed=2).persist()
     found = []
     for c in (1e-3, 1.0, 1e3):
-        make = lambda c=c: LinearSVC(regParam=1.0 / (c * 600), standardization=False)
+        make = lambda c=c: LinearSVC(regParam=1.0 / (c * 600), standardization=False, maxIter=15)
         found += tuning.cross_validate(make, rows, "fold", range(3), tuning.MacroF1("label"), f"C={c}", parallelism=3)
     return tuning.cv_results(tuning.scores_table(t.spark, found), ["candidate"])
 

@@ -15,14 +15,16 @@ from graniteflow.streaming import streams
 
 
 def _events(t):
-    return streams.file_stream(t.spark, f"{t.folder}/events.parquet", t.events.schema)
+    return streams.file_stream(t.spark, t.folder, t.events.schema, "events.parquet")
 
 
 @query("hourly_counts_stream", """
-SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS hour_start, event_type, count(*) AS n FROM events GROUP BY ALL""")
+SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS hour_start, event_type, count(*) AS n FROM events
+WHERE date_trunc('hour', ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events) GROUP BY ALL""")
 def hourly_counts_stream(t):
+    """Append mode: an hour is final when the watermark (one hour behind the latest row) has passed its end."""
     counts = streams.hourly_counts(_events(t), "ts", "event_type")
-    out = streams.run_to_table(counts, "complete", "hourly")
+    out = streams.append_to_table(counts, "hourly")
     return out.select(epoch_seconds("hour_start").alias("hour_start"), "event_type", "n")
 
 
@@ -33,7 +35,7 @@ def source_stats_stream(t):
         F.col("event_type").alias("tag"), F.get_json_object("props", "$.k").cast("bigint").alias("followers"),
         F.floor("value").alias("retweets"),
     )
-    out = streams.run_to_table(streams.running_source_stats(rows, "tag", ["followers", "retweets"]), "complete", "sources")
+    out = streams.latest_totals(streams.running_source_stats(rows, "tag", ["followers", "retweets"]), "sources")
     return out.select("tag", "n", F.round("mean_followers", 6).alias("mean_followers"), F.round("mean_retweets", 6).alias("mean_retweets"))
 
 
@@ -54,4 +56,4 @@ def score_stream(t):
     fitted = regress.ols(_features(t.events), STREAM_X, "value")
     model = load_model(save_model(fitted, scratch_path(t.spark, "model")))
     scored = streams.score(_events(t), _features, model).select("event_id", "prediction")
-    return streams.run_to_table(scored, "append", "scores").select("event_id", F.round("prediction", 6).alias("prediction"))
+    return streams.append_to_table(scored, "scores").select("event_id", F.round("prediction", 6).alias("prediction"))

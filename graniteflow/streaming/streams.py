@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +12,14 @@ from pyspark.sql.types import StructType
 from graniteflow.session import scratch_path
 
 
-def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+def file_stream(
+    spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet", files_per_trigger: int | None = None,
+) -> DataFrame:
+    """Stream of the Parquet files of a folder whose names match ``pattern``."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    return reader.parquet(folder)
 
 
 def hourly_counts(stream: DataFrame, time: str, tag: str, late: str = "1 hour") -> DataFrame:
@@ -36,24 +40,29 @@ def score(stream: DataFrame, features: Callable[[DataFrame], DataFrame], model)
     return model.transform(features(stream))
 
 
-def run_to_table(stream: DataFrame, mode: str, label: str) -> DataFrame:
-    """Process all available input, write every micro-batch, and read the result.
+def append_to_table(stream: DataFrame, label: str) -> DataFrame:
+    """Process all available input into a Parquet table and read it back.
 
-    Each batch goes to its own folder and replaces it when repeated, so a batch
-    that is retried after a failure counts once. In complete mode the last batch
-    is the result; in append mode all batches are.
+    Finished rows only: a window is written once the watermark has passed its end.
+    The sink's log makes a retried batch count once.
     """
     spark = stream.sparkSession
     out, state = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
+    stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", state).trigger(
+        availableNow=True
+    ).start(out).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={epoch}")
-
-    stream.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(
-        write
-    ).start().awaitTermination()
-    rows = spark.read.schema(stream.schema).option("basePath", out)
-    found = rows.parquet(f"{out}/batch=*")
-    if mode == "complete":
-        found = found.where(F.col("batch") == found.agg(F.max("batch")).scalar())
-    return found.select(*stream.columns)
+
+def latest_totals(stream: DataFrame, label: str) -> DataFrame:
+    """Process all available input and return the running totals as they stand.
+
+    For aggregations whose keys are few by nature (one row per source): the
+    complete result is held as a table in memory.
+    """
+    spark = stream.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    stream.writeStream.format("memory").queryName(name).outputMode("complete").option(
+        "checkpointLocation", scratch_path(spark, f"{label}-state")
+    ).trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name)
