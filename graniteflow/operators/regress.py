@@ -17,6 +17,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graniteflow.functions.mathx import safe_corr
 from graniteflow.operators import metrics
 from graniteflow.operators.ordering import running_totals
 from graniteflow.operators.split import bootstrap_weight
@@ -204,7 +205,7 @@ def oob_predictions(
 def oob_error(preds: DataFrame, y: str, est: str = "est") -> DataFrame:
     """1 − R² of out-of-bag predictions."""
     gap = F.col(y) - F.col(est)
-    return preds.agg(F.count(F.lit(1)).alias("n_rows"), (F.sum(gap * gap) / (F.var_pop(y) * F.count(y))).alias("oob_error"))
+    return preds.agg(F.count(F.lit(1)).alias("n_rows"), F.try_divide(F.sum(gap * gap), F.var_pop(y) * F.count(y)).alias("oob_error"))
 
 
 def tree_report(spark: SparkSession, model, cols: list[str]) -> DataFrame:
@@ -224,7 +225,7 @@ def tree_nodes(spark: SparkSession, model_path: str) -> DataFrame:
 # ------------------------------------------------------------- feature scores
 def f_regression(df: DataFrame, cols: list[str], y: str) -> DataFrame:
     """(feature, score) with score = r²/(1−r²)·(n−2), all columns in one aggregation."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.corr(c, y).alias(f"r{i}") for i, c in enumerate(cols)])
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[safe_corr(c, y).alias(f"r{i}") for i, c in enumerate(cols)])
     score = lambda i: F.try_divide(F.col(f"r{i}") ** 2, 1 - F.col(f"r{i}") ** 2) * (F.col("n") - 2)
     cells = [F.struct(F.lit(c).alias("feature"), score(i).alias("score")) for i, c in enumerate(cols)]
     return row.select(F.inline(F.array(*cells)))
@@ -272,7 +273,7 @@ def select_k_best(df: DataFrame, cols: list[str], scores: DataFrame, k: int | No
 def feature_count_sweep(train: DataFrame, test: DataFrame, cols: list[str], y: str) -> list[dict]:
     """Test RMSE of least squares on the k best columns for every k; two passes in total."""
     scores = {r["feature"]: r["score"] for r in f_regression(train, cols, y).collect()}
-    order = sorted(range(len(cols)), key=lambda i: (-scores[cols[i]], cols[i]))
+    order = sorted(range(len(cols)), key=lambda i: (-(scores[cols[i]] or 0.0), cols[i]))
     g_train, g_test = gram_table(train, cols, y)[()], gram_table(test, cols, y)[()]
     out = []
     for k in range(1, len(cols) + 1):

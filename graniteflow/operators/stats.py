@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graniteflow.operators.ordering import quantiles, row_index
+from graniteflow.functions.mathx import safe_corr
+from graniteflow.operators.ordering import quantiles, row_index, running_totals
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -46,7 +47,7 @@ def density(ratings: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_ratings"),
         F.countDistinct("user").alias("n_users"),
         F.countDistinct("item").alias("n_items"),
-    ).withColumn("density", F.col("n_ratings") / (F.col("n_users") * F.col("n_items")))
+    ).withColumn("density", F.try_divide("n_ratings", F.col("n_users") * F.col("n_items")))
 
 
 def rating_frequency(ratings: DataFrame, key: str) -> DataFrame:
@@ -98,7 +99,7 @@ def box_stats(df: DataFrame, cat: str, y: str, order: list | None = None) -> Dat
 
 def trend(df: DataFrame, key: str, y: str) -> DataFrame:
     """Mean per key with a normal 95 % band."""
-    half = 1.96 * F.stddev_samp(y) / F.sqrt(F.count(y))
+    half = 1.96 * F.try_divide(F.stddev_samp(y), F.sqrt(F.count(y)))
     return df.groupBy(key).agg(
         F.count(y).alias("n"), F.avg(y).alias("mean"),
         (F.avg(y) - half).alias("low"), (F.avg(y) + half).alias("high"),
@@ -124,7 +125,7 @@ def filled_contingency(df: DataFrame, a: str, b: str, labels: list) -> DataFrame
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of every column pair (a ≤ b) from one aggregation."""
     pairs = list(combinations_with_replacement(cols, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[safe_corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
         F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{i}").alias("corr"))
         for i, (a, b) in enumerate(pairs)
@@ -150,8 +151,6 @@ def rank_results(df: DataFrame, score: str, name: str = "rank") -> DataFrame:
 
     Candidates are counted per distinct score, then ranked by a running total.
     """
-    from graniteflow.operators.ordering import running_totals
-
     groups = df.groupBy(score).agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_totals(groups, [f"-{score}"], {"_upto": F.col("_n")})
     return df.join(ranked.select(score, (F.col("_upto") - F.col("_n") + 1).alias(name)), score)

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | str, line_sep: str | None = None, header: bool = True,
 ) -> DataFrame:
-    """CSV with quoted text. ``schema`` replaces the names of the header line.
+    """CSV with quoted text; a missing field is null, a quoted empty one is "". ``schema`` replaces the names of the header line.
 
     With ``line_sep`` only that mark ends a row, so text may hold ``\\r``.
     Without it, quoted text may span lines, which keeps one file in one task;
@@ -19,7 +19,7 @@ def read_csv(
     """
     reader = (
         spark.read.schema(schema).option("header", header).option("quote", '"').option("escape", '"')
-        .option("enforceSchema", True).option("mode", "FAILFAST")
+        .option("enforceSchema", True).option("mode", "FAILFAST").option("nullValue", r"\N")
     )
     reader = reader.option("lineSep", line_sep) if line_sep else reader.option("multiLine", True)
     return reader.csv(path)
@@ -36,7 +36,9 @@ def scan_folder(
 ) -> DataFrame:
     """All files of a folder in one scan, tagged by a part of the file name."""
     rows = spark.read.schema(schema).options(**options).format(fmt).load(path)
-    return rows.select("*", F.regexp_extract("_metadata.file_name", name_pattern, 1).alias(tag))
+    # The metadata name is percent-encoded; a plus sign in it is literal.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return rows.select("*", F.regexp_extract(name, name_pattern, 1).alias(tag))
 
 
 def read_word_vectors(spark: SparkSession, path: str, dim: int) -> DataFrame:

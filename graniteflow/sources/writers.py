@@ -13,7 +13,7 @@ from graniteflow.session import scratch_path
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None, **options) -> str:
     """Write one folder; returns its path. CSV keeps a header and doubles quotes."""
     if fmt == "csv":
-        options = {"header": True, "quote": '"', "escape": '"', "emptyValue": "", **options}
+        options = {"header": True, "quote": '"', "escape": '"', **options}
     writer = df.write.mode("errorifexists").options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
