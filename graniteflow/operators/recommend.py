@@ -19,7 +19,7 @@ from graniteflow.functions.hashing import hash_int
 from graniteflow.operators.ordering import top_per_group
 from graniteflow.operators.stats import item_variance
 
-USERS_PER_BLOCK = 512
+USERS_PER_BLOCK = 1024
 ITEMS_PER_BLOCK = 4096
 TINY = 1e-9
 
@@ -121,33 +121,84 @@ def pearson_similarity(ratings: DataFrame, top: int) -> DataFrame:
     return top_per_group(_both_ways(pairs, []), ["user"], ["-sim", "peer"], top)
 
 
-def _block_neighbours(pdf: pd.DataFrame, keys: list[str], k: int) -> pd.DataFrame:
-    """The ``k`` most similar raters of each test row within one block."""
-    sims, tests, raters = (pdf[pdf["kind"] == x] for x in ("S", "T", "R"))
-    columns = [*keys, "user", "item", "peer", "sim", "deviation"]
-    if sims.empty or tests.empty or raters.empty:
-        return pd.DataFrame({c: pdf[c].iloc[:0] for c in columns})
-    users, peers = pd.Index(sims["user"].unique()), pd.Index(np.sort(raters["peer"].unique()))
-    grid = np.zeros((len(users) + 1, len(peers) + 1))
-    grid[users.get_indexer(sims["user"]), peers.get_indexer(sims["peer"])] = sims["sim"].to_numpy()
-    grid[-1, :] = 0.0
-    grid[:, -1] = 0.0
-    by_item = {i: g for i, g in raters.groupby("item", sort=False)}
-    found = []
+def _similarity_grid(u_rows, v_rows, items, users, peers) -> np.ndarray:
+    """users × peers similarities of two sets of ratings, 0 without common spread."""
+    mats = []
+    for part, names in ((u_rows, users), (v_rows, peers)):
+        r = np.zeros((len(names), len(items)))
+        m = np.zeros_like(r)
+        at = names.get_indexer(part["user"]), items.get_indexer(part["item"])
+        r[at], m[at] = part["rating"].to_numpy(), 1.0
+        mats.append((r, m))
+    (r, m), (s, k) = mats
+    n, sx, sy = m @ k.T, r @ k.T, m @ s.T
+    vx, vy = n * ((r * r) @ k.T) - sx * sx, n * (m @ (s * s).T) - sy * sy
+    live = (vx > TINY) & (vy > TINY)
+    out = np.zeros_like(n)
+    out[live] = (n * (r @ s.T) - sx * sy)[live] / np.sqrt(vx[live] * vy[live])
+    return np.round(out, 9)
+
+
+def _pick_raters(tests: pd.DataFrame, raters: pd.DataFrame, grid: np.ndarray, users: pd.Index, peers: pd.Index, k: int) -> list[pd.DataFrame]:
+    """Up to ``k`` raters with positive similarity per test row; the last grid row and column are zero."""
+    found, by_item = [], {i: g for i, g in raters.groupby("item", sort=False)}
     for item, group in tests.groupby("item", sort=False):
         near = by_item.get(item)
         if near is None:
             continue
-        near = near.sort_values("peer")
-        s = grid[np.ix_(users.get_indexer(group["user"]), peers.get_indexer(near["peer"]))]
+        near = near.sort_values("user")
+        s = grid[np.ix_(users.get_indexer(group["user"]), peers.get_indexer(near["user"]))]
         order = np.argsort(-s, axis=1, kind="stable")[:, :k]
         best = np.take_along_axis(s, order, axis=1)
         a, b = np.nonzero(best > 0)
         pick = order[a, b]
         found.append(pd.DataFrame({
-            "user": group["user"].to_numpy()[a], "item": item, "peer": near["peer"].to_numpy()[pick],
+            "user": group["user"].to_numpy()[a], "item": item, "peer": near["user"].to_numpy()[pick],
             "sim": best[a, b], "deviation": near["deviation"].to_numpy()[pick],
         }))
+    return found
+
+
+def _padded(grid: np.ndarray) -> np.ndarray:
+    return np.pad(grid, ((0, 1), (0, 1)))
+
+
+def _fused_block(pdf: pd.DataFrame, keys: list[str], k: int) -> pd.DataFrame:
+    """Similarities and nearest raters of one user block × user block in one go.
+
+    Rows: L ratings of the test users, R ratings of the possible raters, T test rows.
+    """
+    columns = [*keys, "user", "item", "peer", "sim", "deviation"]
+    left, right, tests = (pdf[pdf["kind"] == x] for x in ("L", "R", "T"))
+    found = []
+    if len(left) and len(right) and len(tests):
+        users, peers = pd.Index(tests["user"].unique()), pd.Index(np.sort(right["user"].unique()))
+        left = left[left["user"].isin(users)]
+        items = pd.Index(np.union1d(left["item"].unique(), right["item"].unique()))
+        grid = _similarity_grid(left, right, items, users, peers)
+        grid[users.to_numpy()[:, None] == peers.to_numpy()[None, :]] = 0.0
+        found = _pick_raters(tests, right, _padded(grid), users, peers, k)
+    if not found:
+        return pd.DataFrame({c: pdf["user" if c == "peer" else c].iloc[:0] for c in columns})
+    out = pd.concat(found, ignore_index=True)
+    for key in keys:
+        out[key] = pdf[key].iloc[0]
+    return out[columns]
+
+
+def _block_neighbours(pdf: pd.DataFrame, keys: list[str], k: int) -> pd.DataFrame:
+    """The ``k`` most similar raters of each test row within one block."""
+    sims, tests, raters = (pdf[pdf["kind"] == x] for x in ("S", "T", "R"))
+    columns = [*keys, "user", "item", "peer", "sim", "deviation"]
+    if sims.empty or tests.empty or raters.empty:
+        return pd.DataFrame({c: pdf[c].iloc[:0] for c in columns})
+    users, peers = pd.Index(sims["user"].unique()), pd.Index(np.sort(raters["peer"].unique()))
+    grid = np.zeros((len(users) + 1, len(peers) + 1))
+    grid[users.get_indexer(sims["user"]), peers.get_indexer(sims["peer"])] = sims["sim"].to_numpy()
+    grid[-1, :] = 0.0
+    grid[:, -1] = 0.0
+    raters = raters.drop(columns="user").rename(columns={"peer": "user"})
+    found = _pick_raters(tests, raters, grid, users, peers, k)
     if not found:
         return pd.DataFrame({c: pdf[c].iloc[:0] for c in columns})
     out = pd.concat(found, ignore_index=True)
@@ -160,10 +211,14 @@ def nearest_raters(train: DataFrame, test: DataFrame, k: int, keys: list[str] |
     """(keys, user, item, peer, sim, deviation, rank): up to ``k`` raters with sim > 0 per test row.
 
     Each block keeps its own best ``k``; the ranked merge sees at most ``k``
-    rows per test row and user block.
+    rows per test row and user block. While all items fit one block, a task
+    works out similarities and picks raters at once and no pair leaves it;
+    with more items the pair moments are summed over item blocks first.
     """
     keys = list(keys or [])
     users, items = block_counts(train)
+    if items == 1:
+        return _nearest_in_one_item_block(train, test, k, keys, users)
     pairs = pearson_pairs(train, keys, (users, items)).where("sim > 0")
     means = train.groupBy(*keys, "user").agg(F.avg("rating").alias("mean"))
     rated = train.join(means, [*keys, "user"]).withColumn("deviation", F.col("rating") - F.col("mean"))
@@ -194,6 +249,23 @@ def nearest_raters(train: DataFrame, test: DataFrame, k: int, keys: list[str] |
     return top_per_group(local, [*keys, "user", "item"], ["-sim", "peer"], k)
 
 
+def _nearest_in_one_item_block(train: DataFrame, test: DataFrame, k: int, keys: list[str], users: int) -> DataFrame:
+    means = train.groupBy(*keys, "user").agg(F.avg("rating").alias("mean"))
+    rated = train.join(means, [*keys, "user"]).withColumn("deviation", F.col("rating") - F.col("mean"))
+    block = (hash_int("user", seed=101) % users).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.lit(users - 1)))
+    head = [*keys, "p", "q", "kind", "user", "item", "rating", "deviation"]
+    side = lambda d, own, far, kind: d.withColumns({own: block, far: other, "kind": F.lit(kind)}).select(*head)
+    blank = F.lit(None).cast("double")
+    tests = test.select(*keys, "user", "item").withColumns({"rating": blank, "deviation": blank})
+    rows = side(rated, "p", "q", "L").unionByName(side(rated, "q", "p", "R")).unionByName(side(tests, "p", "q", "T"))
+    kinds = dict(train.dtypes)
+    key_ddl = "".join(f"{c} {kinds[c]}, " for c in keys)
+    schema = f"{key_ddl}user {kinds['user']}, item {kinds['item']}, peer {kinds['user']}, sim double, deviation double"
+    local = rows.groupBy(*keys, "p", "q").applyInPandas(lambda pdf: _fused_block(pdf, keys, k), schema)
+    return top_per_group(local, [*keys, "user", "item"], ["-sim", "peer"], k)
+
+
 def knn_sweep(
     train: DataFrame, test: DataFrame, ks: list[int], keys: list[str] | None = None, low: float = 0.5, high: float = 5.0,
 ) -> DataFrame:

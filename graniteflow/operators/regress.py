@@ -252,9 +252,11 @@ def mutual_info(df: DataFrame, cols: list[str], y: str, bins: int = 10) -> DataF
     edges = _bin_edges(df, [*cols, y], bins)
 
     def binned(name):
-        low = F.array(*[F.lit(float(e)) for _, e in edges[name]])
-        ids = F.array(*[F.lit(b) for b, _ in edges[name]])
-        return F.element_at(ids, F.size(F.filter(low, lambda e: e <= F.col(name))))
+        (first, edge), *rest = reversed(edges[name])
+        out = F.when(F.col(name) >= edge, first)
+        for number, edge in rest:
+            out = out.when(F.col(name) >= edge, number)
+        return out
 
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), binned(c).alias("bx")) for c in cols])
     long = df.select(*cols, y).na.drop().withColumn("by", binned(y)).select("by", F.inline(cells))

@@ -11,18 +11,24 @@ from pyspark.sql import functions as F
 from graniteflow.functions.hashing import hash_unit
 
 
-def count_terms(tokens: DataFrame, doc: str = "doc_id", term: str = "token", min_df: int = 1) -> DataFrame:
-    """(doc, term, tf, df) of the terms found in at least ``min_df`` documents."""
-    counts = tokens.groupBy(doc, F.col(term).alias("term")).agg(F.count(F.lit(1)).alias("tf"))
-    return counts.join(_frequent(counts, min_df), "term").select(doc, "term", "tf", "df")
+def _pair_counts(tokens: DataFrame, doc: str, term: str) -> DataFrame:
+    return tokens.groupBy(doc, F.col(term).alias("term")).agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _frequent(counts: DataFrame, min_df: int) -> DataFrame:
-    return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df)
+    """(term, df, n). Counting ``n`` as well keeps the pair counts whole here, so that
+    a plan that also joins them reads one and the same shuffle."""
+    return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("n")).where(F.col("df") >= min_df)
+
+
+def count_terms(tokens: DataFrame, doc: str = "doc_id", term: str = "token", min_df: int = 1) -> DataFrame:
+    """(doc, term, tf, df) of the terms found in at least ``min_df`` documents."""
+    counts = _pair_counts(tokens, doc, term)
+    return counts.join(_frequent(counts, min_df).where("n > 0"), "term").select(doc, "term", "tf", "df")
 
 
 class TfidfModel:
-    """Frozen vocabulary (term, df, idf); rows of the result have unit length."""
+    """Frozen vocabulary (term, df, n, idf); rows of the result have unit length."""
 
     def __init__(self, vocabulary: DataFrame):
         self.vocabulary = vocabulary
@@ -30,15 +36,13 @@ class TfidfModel:
     @classmethod
     def fit(cls, tokens: DataFrame, docs: DataFrame, doc: str = "doc_id", term: str = "token", min_df: int = 1):
         """``docs`` holds every document once, also those without a legal word."""
-        pairs = tokens.select(doc, F.col(term).alias("term")).distinct()
         n = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
         idf = F.log((1 + n) / (1 + F.col("df"))) + 1
-        return cls(_frequent(pairs, min_df).withColumn("idf", idf))
+        return cls(_frequent(_pair_counts(tokens, doc, term), min_df).withColumn("idf", idf))
 
     def transform(self, tokens: DataFrame, doc: str = "doc_id", term: str = "token") -> DataFrame:
         """(doc, term, tf, w). Terms outside the vocabulary are dropped."""
-        counts = tokens.groupBy(doc, F.col(term).alias("term")).agg(F.count(F.lit(1)).alias("tf"))
-        raw = counts.join(self.vocabulary, "term").withColumn("raw", F.col("tf") * F.col("idf"))
+        raw = _pair_counts(tokens, doc, term).join(self.vocabulary.where("n > 0"), "term").withColumn("raw", F.col("tf") * F.col("idf"))
         norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc)))
         return raw.select(doc, "term", "tf", (F.col("raw") / norm).alias("w"))
 

@@ -15,7 +15,7 @@ from graniteflow.plans.cluster_queries import points
 from graniteflow.plans.regress_queries import KEYS, LINEAR, Z, scaled_prices
 from graniteflow.plans.sqltools import sql_gram, sql_solve
 from graniteflow.plans.views import NET_PRICE, sql_unit, with_sql
-from graniteflow.session import scratch_path
+from graniteflow.session import scratch_path, spread
 from graniteflow.sources.writers import load_model, save_model
 
 # --------------------------------------------- documents as three numbers
@@ -25,7 +25,7 @@ DOC_X = ["size", "accents", "spaces"]
 def doc_numbers(t):
     n = F.length("text")
     share = lambda pattern: F.length(F.regexp_replace("text", pattern, "")) / n
-    return t.documents.select(
+    return spread(t.documents.select("doc_id", "lang", "text")).select(
         "doc_id", "lang", F.ln(n + 1).alias("size"), share("[^àâäçèéêëîïôöùûüßñáíóú]").alias("accents"), share("[^ ]").alias("spaces")
     )
 

@@ -8,6 +8,7 @@ from graniteflow.functions import text as tx
 from graniteflow.functions.hashing import hash_int
 from graniteflow.operators import ordering, split, vectorize
 from graniteflow.plans.catalog import query
+from graniteflow.session import spread
 from graniteflow.plans.views import (
     HASHTAGS, LEGAL, TOKENS, doc_tokens, hashtag_rows, legal_tokens, sql_hash, sql_unit, sql_word_vectors,
     with_sql, word_vectors,
@@ -23,13 +24,13 @@ replace(replace(replace(replace(regexp_replace({c}, '(?m)^https?://.*[\r\n]*', '
 
 @query("clean_pages", f"SELECT page_id, md5(c) AS clean_md5, length(c) AS n_chars FROM (SELECT page_id, {SQL_CLEAN.format(c='html')} AS c FROM pages)")
 def clean_pages(t):
-    out = t.pages.select("page_id", tx.clean_text("html").alias("c"))
+    out = spread(t.pages.select("page_id", "html")).select("page_id", tx.clean_text("html").alias("c"))
     return out.select("page_id", F.md5("c").alias("clean_md5"), F.length("c").cast("bigint").alias("n_chars"))
 
 
 @query("clean_documents", f"SELECT doc_id, {SQL_CLEAN.format(c='text')} AS clean FROM documents")
 def clean_documents(t):
-    return t.documents.select("doc_id", tx.clean_text("text").alias("clean"))
+    return spread(t.documents.select("doc_id", "text")).select("doc_id", tx.clean_text("text").alias("clean"))
 
 
 @query("optional_cleaner", f"""
@@ -38,7 +39,7 @@ UNION ALL SELECT doc_id, false, length(text) FROM documents""")
 def optional_cleaner(t):
     from graniteflow.operators.classify import Cleaner
 
-    rows = t.documents.select("doc_id", "text")
+    rows = spread(t.documents.select("doc_id", "text"))
     both = [
         Cleaner(inputCol="text", outputCol="out", enabled=flag).transform(rows).select(
             "doc_id", F.lit(flag).alias("cleaned"), F.length("out").cast("bigint").alias("n_chars")
@@ -57,7 +58,7 @@ def tokenize(t):
 SELECT doc_id, count(*) AS n_sentences, CAST(max(length(s)) AS BIGINT) AS longest
 FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '[.!?]\s+')) AS s FROM documents) GROUP BY 1""")
 def sentences(t):
-    return tx.sentences(t.documents.select("doc_id", "text"), "text").groupBy("doc_id").agg(
+    return tx.sentences(spread(t.documents.select("doc_id", "text")), "text").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_sentences"), F.max(F.length("sentence")).cast("bigint").alias("longest")
     )
 

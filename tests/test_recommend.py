@@ -31,7 +31,7 @@ def similarity(train, u, v):
     return 0.0 if a <= 1e-9 or b <= 1e-9 else round((n * (x * y).sum() - x.sum() * y.sum()) / np.sqrt(a * b), 9)
 
 
-@pytest.fixture(params=[(512, 4096), (5, 4)], ids=["one-block", "many-blocks"])
+@pytest.fixture(params=[(512, 4096), (5, 4096), (5, 4)], ids=["one-block", "user-blocks", "user-and-item-blocks"])
 def blocks(request, monkeypatch):
     monkeypatch.setattr(recommend, "USERS_PER_BLOCK", request.param[0])
     monkeypatch.setattr(recommend, "ITEMS_PER_BLOCK", request.param[1])
