@@ -84,7 +84,7 @@ def _sql_logistic(rounds=10, c=1.0):
 
 @query("logistic", _sql_logistic())
 def logistic(t):
-    model = classify.logistic(labelled_docs(t), "l2", 1.0)
+    model = classify.logistic(labelled_docs(t), "l2", 1.0, max_iter=500, tol=1e-10)
     rows = [("const", float(model.intercept))] + [(c, float(b)) for c, b in zip(DOC_X, model.coefficients)]
     return t.spark.createDataFrame(rows, "feature string, coef double").select("feature", F.round("coef", 4).alias("coef"))
 
@@ -94,7 +94,7 @@ def logistic_l1(t):
     rows = labelled_docs(t).persist()
     found = []
     for c in (0.01, 1.0, 100.0):
-        model = classify.logistic(rows, "l1", c)
+        model = classify.logistic(rows, "l1", c, max_iter=25, tol=1e-6)
         found += [(c, n, float(b)) for n, b in zip(DOC_X, model.coefficients)]
     return t.spark.createDataFrame(found, "c double, feature string, coef double")
 
@@ -102,14 +102,14 @@ def logistic_l1(t):
 @query("linear_svm")
 def linear_svm(t):
     rows = labelled_docs(t).persist()
-    runs = [classify.linear_svm(rows, c, max_iter=30).transform(rows).select(F.lit(c).alias("c"), "label", "prediction") for c in (0.01, 100.0)]
+    runs = [classify.linear_svm(rows, c, max_iter=10).transform(rows).select(F.lit(c).alias("c"), "label", "prediction") for c in (0.01, 100.0)]
     return metrics.binary_metrics(stats.union_all(runs), "label", "prediction", 1.0, ["c"])
 
 
 @query("one_vs_one")
 def one_vs_one(t):
     rows = labelled_docs(t).withColumn("label", F.col("lang_no"))
-    model = classify.one_vs_one(rows, lambda part: classify.linear_svm(part, 1.0, max_iter=20))
+    model = classify.one_vs_one(rows, lambda part: classify.linear_svm(part, 1.0, max_iter=10))
     return model.transform(rows).select("doc_id", "lang", "prediction")
 
 
@@ -226,7 +226,7 @@ def search_one_param(t):
     rows = split.with_fold(labelled_docs(t), "doc_id", 3, seed=2).persist()
     found = []
     for c in (1e-3, 1.0, 1e3):
-        make = lambda c=c: LinearSVC(regParam=1.0 / (c * 600), standardization=False, maxIter=15)
+        make = lambda c=c: LinearSVC(regParam=1.0 / (c * 600), standardization=False, maxIter=8)
         found += tuning.cross_validate(make, rows, "fold", range(3), tuning.MacroF1("label"), f"C={c}", parallelism=3)
     return tuning.cv_results(tuning.scores_table(t.spark, found), ["candidate"])
 

@@ -7,13 +7,24 @@ from pyspark.sql import functions as F
 from graniteflow.operators import recommend, split, stats
 from graniteflow.operators.metrics import auc
 from graniteflow.plans.catalog import query
-from graniteflow.plans.views import FOLDED, PART_RATINGS, RATINGS, part_ratings, ratings, with_sql
+from graniteflow.plans import views
+from graniteflow.plans.views import FOLDED, PART_RATINGS, RATINGS, with_sql
+from graniteflow.session import cut_lineage
 
 
 def _r6(df, keep, cols):
     return df.select(*keep, *[F.round(c, 6).alias(c) for c in cols])
 
 
+def ratings(t):
+    """The rating view, worked out once: the operators below read it several times."""
+    return cut_lineage(views.ratings(t))
+
+
+def part_ratings(t):
+    return cut_lineage(views.part_ratings(t))
+
+
 def folded(rows):
     return split.with_fold(rows, ["user", "item"], 10, seed=7)
 
@@ -82,8 +93,8 @@ def knn_predict(t):
 SWEEP = [2, 10, 20, 40]
 
 
-def knn_fold_predictions(t, ks):
-    rows = folded(ratings(t))
+def knn_fold_predictions(rows, ks):
+    rows = folded(rows)
     return recommend.knn_sweep(recommend.fold_train(rows, 10), rows, ks, ["fold"])
 
 
@@ -94,7 +105,7 @@ SQL_SWEEP = with_sql(RATINGS, FOLDED, ALL_FOLDS, SIMS_FOLD, _ks(SWEEP), KNN_FOLD
 SELECT k, round(avg(rmse), 6) AS rmse, round(avg(mae), 6) AS mae FROM (
   SELECT k, fold, sqrt(avg((rating-est)**2)) AS rmse, avg(abs(rating-est)) AS mae FROM preds GROUP BY ALL) GROUP BY 1"""))
 def knn_sweep(t):
-    preds = knn_fold_predictions(t, SWEEP)
+    preds = knn_fold_predictions(ratings(t), SWEEP)
     gap = F.col("rating") - F.col("est")
     per_fold = preds.groupBy("k", "fold").agg(F.sqrt(F.avg(gap * gap)).alias("rmse"), F.avg(F.abs(gap)).alias("mae"))
     return per_fold.groupBy("k").agg(F.round(F.avg("rmse"), 6).alias("rmse"), F.round(F.avg("mae"), 6).alias("mae"))
@@ -111,8 +122,9 @@ subsets AS (SELECT item, 'popular' AS subset FROM item_stats WHERE n > {above}
 SELECT k, fold, subset, count(*) AS n, round(sqrt(avg((rating-est)**2)), 6) AS rmse FROM preds JOIN subsets USING (item) GROUP BY ALL""").replace(
     "preds AS (SELECT * REPLACE (greatest(0.5, least(5.0, est)) AS est) FROM ests)\n,", "preds AS (SELECT * REPLACE (greatest(0.5, least(5.0, est)) AS est) FROM ests),"))
 def knn_subset_rmse(t):
-    subsets = recommend.subset_items(ratings(t), 73, 60, 2.3)
-    return _r6(recommend.subset_rmse(knn_fold_predictions(t, SWEEP), subsets, ["k", "fold"]), ["k", "fold", "subset", "n"], ["rmse"])
+    rows = ratings(t)
+    subsets = recommend.subset_items(rows, 73, 60, 2.3)
+    return _r6(recommend.subset_rmse(knn_fold_predictions(rows, SWEEP), subsets, ["k", "fold"]), ["k", "fold", "subset", "n"], ["rmse"])
 
 
 @query("item_subsets", with_sql(PART_RATINGS, SUBSETS.format(above=30, count=25, var=2.2), "SELECT item, subset FROM subsets"))
@@ -123,7 +135,8 @@ def item_subsets(t):
 @query("subset_test_rows", with_sql(PART_RATINGS, FOLDED, SUBSETS.format(above=30, count=25, var=2.2), """
 SELECT subset, fold, count(*) AS n FROM folded JOIN subsets USING (item) GROUP BY ALL"""))
 def subset_test_rows(t):
-    rows, subsets = folded(part_ratings(t)), recommend.subset_items(part_ratings(t), 30, 25, 2.2)
+    found = part_ratings(t)
+    rows, subsets = folded(found), recommend.subset_items(found, 30, 25, 2.2)
     parts = [
         recommend.subset_filter(rows, subsets, s).withColumn("subset", F.lit(s))
         for s in ("popular", "unpopular", "high_variance")
@@ -158,9 +171,10 @@ def user_mean_filter_all_rows(t):
 SELECT fold, subset, count(*) AS n, round(sqrt(avg((rating-est)**2)), 6) AS rmse
 FROM folded JOIN means USING ("user") JOIN subsets USING (item) GROUP BY ALL"""))
 def naive_subset_rmse(t):
-    rows = folded(part_ratings(t))
+    found = part_ratings(t)
+    rows = folded(found)
     preds = rows.join(stats.user_mean(rows).withColumnRenamed("mean_rating", "est"), "user")
-    subsets = recommend.subset_items(part_ratings(t), 30, 25, 2.2)
+    subsets = recommend.subset_items(found, 30, 25, 2.2)
     return _r6(recommend.subset_rmse(preds, subsets, ["fold"]), ["fold", "subset", "n"], ["rmse"])
 
 

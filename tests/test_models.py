@@ -169,7 +169,7 @@ def test_class_weights_sum_to_rows(classes):
 
 
 def test_logistic_penalties(classes, xy):
-    model = classify.logistic(classes, "l2", 2.0)
+    model = classify.logistic(classes, "l2", 2.0, max_iter=500, tol=1e-10)
     w = np.array([*model.coefficients])
     y = np.array([r["label"] for r in classes.orderBy("id").collect()])
     p = 1 / (1 + np.exp(-(xy[0] @ w + model.intercept)))
