@@ -179,7 +179,8 @@ def _fused_block(pdf: pd.DataFrame, keys: list[str], k: int) -> pd.DataFrame:
         grid[users.to_numpy()[:, None] == peers.to_numpy()[None, :]] = 0.0
         found = _pick_raters(tests, right, _padded(grid), users, peers, k)
     if not found:
-        return pd.DataFrame({c: pdf["user" if c == "peer" else c].iloc[:0] for c in columns})
+        like = {"peer": "user", "sim": "rating"}
+        return pd.DataFrame({c: pdf[like.get(c, c)].iloc[:0] for c in columns})
     out = pd.concat(found, ignore_index=True)
     for key in keys:
         out[key] = pdf[key].iloc[0]
