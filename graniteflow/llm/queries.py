@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graniteflow.llm import fingerprints
+from graniteflow.llm import classifier, extract, fingerprints, mixing, packing, rules, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,3 +24,40 @@ def query(fn):
 @query
 def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.document_fingerprints(_table(spark, folder, "documents"))
+
+
+@query
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"))
+
+
+SQL["op3_mixing"] = mixing.MIX_SQL
+
+
+@query
+def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.filter_urls(_table(spark, folder, "pages"), url_filter.rule_table(spark))
+
+
+SQL["op9_url_filter"] = url_filter.FILTER_SQL
+
+
+@query
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents"))
+
+
+@query
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judge(_table(spark, folder, "documents"))
+
+
+@query
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.extract_pages(_table(spark, folder, "pages"))
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    return classifier.classify(documents, classifier.train(documents, _table(spark, folder, "labels")))
