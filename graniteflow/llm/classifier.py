@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graniteflow.llm.batches import add_columns
+from graniteflow.llm.batches import add_columns, keep_rows
 
 #: Labelled documents read for training at most, and preference pairs drawn from them.
 SAMPLE_ROWS, PAIRS = 20_000, 60_000
@@ -133,3 +133,8 @@ def classify(docs: DataFrame, ranker: Ranker, id_col: str = "doc_id", text_col:
 
     source = docs if keep is not None else docs.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), F.col(text_col))
     return add_columns(source, text_col, "score double, predicted int", make, keep if keep is not None else [id_col, "held_out"])
+
+
+def keep_good(docs: DataFrame, ranker: Ranker, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``classify`` predicts as 1, with all their columns."""
+    return keep_rows(docs, text_col, lambda: lambda texts: ranker.score(np.array([_features(t) for t in texts]).reshape(len(texts), -1)) >= CUT)

@@ -95,6 +95,31 @@ def mix(
     )
 
 
+def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", n_chars: str | None = "n_chars", **options) -> DataFrame:
+    """The rows of ``df`` as often as ``mix`` takes them, with all their columns.
+
+    The last document of a source's fractional epoch is taken up to its share of words: that
+    row has these words, joined by spaces, and their length in ``n_chars`` if there is such
+    a column. Documents without a word are not taken.
+    """
+    source = df.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_words"), F.col(source_col).alias("_from"), F.struct("*").alias("_row"))
+    chosen = mix(source, "_doc", "_words", "_from", carry=["_row"], **options)
+    part = F.col("taken") - F.col("whole") * F.col("size")
+    copies = F.col("whole") + F.when(part > 0, 1).otherwise(0)
+    rows = chosen.where((F.col("size") > 0) & (copies > 0)).withColumn("_part", part).select(
+        "_row", "whole", "size", "_part", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("_copy")
+    )
+    cut = (F.col("_copy") > F.col("whole")) & (F.col("_part") < F.col("size"))
+    text = F.col("_row")[text_col]
+    words = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), F.col("_part").cast("int")), " ")
+    rows = rows.withColumn("_cut", F.when(cut, words))
+    new = {text_col: F.coalesce("_cut", text)}
+    if n_chars in df.columns:
+        kind = dict(df.dtypes)[n_chars]
+        new[n_chars] = F.when(F.col("_cut").isNotNull(), F.length("_cut").cast(kind)).otherwise(F.col("_row")[n_chars])
+    return rows.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in df.columns])
+
+
 #: The same rows in SQL: clamped sources are those below the level of the sorted ratios.
 MIX_SQL = r"""
 WITH base AS (

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from graniteflow.llm import classifier, extract, fingerprints, mixing, packing, rules, url_filter
+from graniteflow.llm import chat, classifier, extract, fingerprints, mixing, ngram_join, packing, rules, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,3 +62,22 @@ def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     return classifier.classify(documents, classifier.train(documents, _table(spark, folder, "labels")))
+
+
+@query
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    edits = token_counts.document_edits(F.col("text"), F.col("source"), F.col("lang"))
+    return token_counts.edited_counts(_table(spark, folder, "documents"), edits)
+
+
+@query
+def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_pairs(chat.with_rejected(_table(spark, folder, "conversations")), "conv_id")
+
+
+SQL["op8_chat_formatting"] = chat.FORMAT_SQL
+
+
+@query
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, folder, "documents"))

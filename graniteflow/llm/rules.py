@@ -14,7 +14,7 @@ from itertools import chain
 import numpy as np
 from pyspark.sql import DataFrame
 
-from graniteflow.llm.batches import add_columns
+from graniteflow.llm.batches import add_columns, keep_rows
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -113,6 +113,16 @@ def measure(texts: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
     return [counts, np.array(chars, np.int64), np.array(signs, np.int64), np.array([len(x) - len(set(x)) for x in lines], np.int64), repeated, longest]
 
 
+def verdicts(
+    texts: list[bytes], window: int = WINDOW, min_words: int = MIN_WORDS, max_covered: int = MAX_COVERED, max_longest: int = MAX_LONGEST
+) -> list[np.ndarray]:
+    """The ``COLUMNS`` of each text."""
+    n_words, chars, signs, dup, repeated, longest = measure(texts, window)
+    failed = (n_words < min_words) | (100 * repeated > 30 * n_words)
+    kept = ~failed & (100 * repeated <= max_covered * n_words) & (100 * longest <= max_longest * n_words)
+    return [n_words, chars, signs, dup, repeated, longest, failed, kept]
+
+
 def judge(
     df: DataFrame, text_col: str = "text", keep: list[str] | None = None, window: int = WINDOW, min_words: int = MIN_WORDS,
     max_covered: int = MAX_COVERED, max_longest: int = MAX_LONGEST,
@@ -124,13 +134,10 @@ def judge(
     the longest has more than ``max_longest`` percent of them. The whole text is measured.
     """
 
-    def make():
-        def compute(texts):
-            n_words, chars, signs, dup, repeated, longest = measure(texts, window)
-            failed = (n_words < min_words) | (100 * repeated > 30 * n_words)
-            kept = ~failed & (100 * repeated <= max_covered * n_words) & (100 * longest <= max_longest * n_words)
-            return [n_words, chars, signs, dup, repeated, longest, failed, kept]
+    compute = lambda texts: verdicts(texts, window, min_words, max_covered, max_longest)
+    return add_columns(df, text_col, COLUMNS, lambda: compute, keep if keep is not None else ["doc_id"])
 
-        return compute
 
-    return add_columns(df, text_col, COLUMNS, make, keep if keep is not None else ["doc_id"])
+def keep_passing(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that ``judge`` keeps, with all their columns."""
+    return keep_rows(df, text_col, lambda: lambda texts: verdicts(texts)[-1])

@@ -98,7 +98,8 @@ def filter_urls(df: DataFrame, rules: DataFrame, id_col: str = "page_id", url_co
 
 def rule_table(spark, rules=RULES) -> DataFrame:
     """Rules given as (action, host, path)."""
-    return spark.createDataFrame(rules, "action string, host string, path string")
+    rows = [F.struct(*[F.lit(v).alias(n) for n, v in zip(("action", "host", "path"), rule, strict=True)]) for rule in rules]
+    return spark.range(1).select(F.explode(F.array(*rows)).alias("_rule")).select("_rule.*")
 
 
 FILTER_SQL = r"""
