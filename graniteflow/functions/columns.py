@@ -49,8 +49,13 @@ def binarise_all(df: DataFrame, col: str, thresholds: list[float]) -> DataFrame:
 
 
 def to_numeric(col) -> Column:
-    """Number, or null where the text is no number."""
-    return F.expr(f"try_cast(`{col}` as double)") if isinstance(col, str) else col.try_cast("double")
+    """Number, or null where the text is no decimal number; white space around it is allowed.
+
+    A plain cast would also take type suffixes, as in ``5d`` or ``1.5F``.
+    """
+    text = _col(col).cast("string")
+    decimal = F.rlike(text, F.lit(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"))
+    return F.when(decimal, F.trim(text).try_cast("double"))
 
 
 def count_alnum(col) -> Column:

@@ -16,14 +16,14 @@ def _signature(edges: DataFrame):
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour (or itself)."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    lowest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    lowest = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")))
     return both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    lowest = down.groupBy("a").agg(F.min("b").alias("m"))
+    lowest = cut_lineage(down.groupBy("a").agg(F.min("b").alias("m")))
     moved = down.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     kept = lowest.select("a", F.col("m").alias("b"))
     return moved.unionByName(kept).where("a <> b").distinct()
@@ -34,7 +34,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
 
     Alternating star contraction: a logarithmic number of rounds in practice,
     also for long chains, and only linear edge tables. Minima are combined
-    before the shuffle; a hub's edges are split by the skew-join rule.
+    before the shuffle and stored, so that both sides of the join that follows are
+    plain shuffles, in which the skew-join rule splits a hub's edges.
     """
     now = cut_lineage(edges.where("a <> b").select("a", "b").distinct())
     before = None

@@ -72,15 +72,19 @@ def top_per_group(df: DataFrame, keys: list[str], order: list[str], n: int, name
 
 
 def quantiles(df: DataFrame, col: str, probs: list[float], keys: list[str]) -> DataFrame:
-    """Exact linear-interpolated quantiles ``q0, q1, …`` and size ``n`` per group."""
-    ranked = row_index(df.where(F.col(col).isNotNull()).select(*keys, col), [col], keys, "_r", totals=True)
+    """Exact linear-interpolated quantiles ``q0, q1, …`` and size ``n`` per group.
+
+    Equal values are counted first, so a frequent value is one row of its range.
+    """
+    counted = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = running_totals(counted, [col], {"_r": F.col("_c")}, keys, totals=True)
     cells = []
     for i, p in enumerate(probs):
         spot = (F.col("_r_total") - 1) * F.lit(float(p))
         low, high = F.floor(spot), F.ceil(spot)
+        at = lambda rank: (rank < F.col("_r")) & (rank >= F.col("_r") - F.col("_c"))
         cells += [
-            F.max(F.when(F.col("_r") == low, F.col(col))).alias(f"_lo{i}"),
-            F.max(F.when(F.col("_r") == high, F.col(col))).alias(f"_hi{i}"),
+            F.max(F.when(at(low), F.col(col))).alias(f"_lo{i}"), F.max(F.when(at(high), F.col(col))).alias(f"_hi{i}"),
             F.max(spot - low).alias(f"_f{i}"),
         ]
     found = ranked.groupBy(*keys).agg(F.max("_r_total").alias("n"), *cells)

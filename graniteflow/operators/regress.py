@@ -166,11 +166,13 @@ def ols_tests(df: DataFrame, cols: list[str], y: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "feature string, coef double, t double, p_value double")
 
 
-def random_forest(cols_vector: str, y: str, trees: int = 150, per_split: int = 5, depth: int | None = None, seed: int = 0):
-    """Forest regressor. Spark's depth limit is 30, which stands for deeper or unlimited settings."""
+def random_forest(cols_vector: str, y: str, trees: int = 150, per_split: int = 5, depth: int = 30, seed: int = 0):
+    """Forest regressor. Spark grows trees to a depth of 30 at most; more is an error, not a shallower forest."""
+    if depth > 30:
+        raise ValueError("trees deeper than 30 levels cannot be grown")
     return RandomForestRegressor(
         featuresCol=cols_vector, labelCol=y, numTrees=trees, featureSubsetStrategy=str(per_split),
-        maxDepth=min(depth or 30, 30), seed=seed,
+        maxDepth=depth, seed=seed,
     )
 
 

@@ -34,14 +34,16 @@ def shuffle(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     return df.orderBy(hash_int(key, seed=seed), key)
 
 
-def bootstrap_weight(key, resample, seed: int = 0, longest: int = 8) -> Column:
-    """Poisson(1) weight of a row in one resample, from a hash of (key, resample)."""
+def bootstrap_weight(key, resample, seed: int = 0) -> Column:
+    """Poisson(1) weight of a row in one resample, from a hash of (key, resample).
+
+    Weights go on until the tail is below the finest step of the hash.
+    """
     u = hash_unit(key, resample, seed=seed)
-    mass, cumulated, steps = math.exp(-1.0), 0.0, []
-    for j in range(longest):
-        cumulated += mass
+    cumulated, steps = math.exp(-1.0), []
+    while 1.0 - cumulated > 2.0**-32:
         steps.append((u >= F.lit(cumulated)).cast("bigint"))
-        mass /= j + 1
+        cumulated += math.exp(-1.0) / math.factorial(len(steps))
     return sum(steps[1:], steps[0])
 
 

@@ -66,11 +66,21 @@ def user_mean(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("user").agg(F.avg("rating").alias("mean_rating"))
 
 
-def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataFrame:
-    """Fixed-width bins between two bounds, last bin closed, empty bins included."""
+def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: float | None = None) -> DataFrame:
+    """Bins of one width from ``lo`` to ``hi``, last bin closed, empty bins included; nulls are not counted.
+
+    Without bounds they are the smallest and the largest value (half a unit around a single
+    value). A value outside given bounds is an error, so that no row is lost.
+    """
+    ends = df.agg(F.min(col).alias("low"), F.max(col).alias("high")).first()
+    if ends["low"] is not None and (lo is not None and ends["low"] < lo or hi is not None and ends["high"] > hi):
+        raise ValueError(f"{col} has values from {ends['low']} to {ends['high']}, outside the bounds")
+    lo, hi = (float((end or 0) if bound is None else bound) for bound, end in ((lo, ends["low"]), (hi, ends["high"])))
+    if lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
     width = (hi - lo) / bins
     slot = F.least(F.floor((F.col(col) - lo) / width), F.lit(bins - 1)).cast("bigint")
-    counts = df.where(F.col(col).between(lo, hi)).groupBy(slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(F.col(col).isNotNull()).groupBy(slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     grid = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
     return grid.join(counts, "bin", "left").select(
         "bin", (F.lit(lo) + F.col("bin") * width).alias("left_edge"), F.coalesce("n", F.lit(0)).alias("n")

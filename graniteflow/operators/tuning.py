@@ -18,7 +18,7 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graniteflow.functions.columns import absolute_gap
+from graniteflow.functions.columns import absolute_gap, to_numeric
 from graniteflow.functions.hashing import hash_unit
 from graniteflow.operators import metrics, stats
 
@@ -155,7 +155,7 @@ def search_report(results: DataFrame, name: str, seconds: float | None = None) -
 def param_effects(results: DataFrame, params: list[str]) -> DataFrame:
     """Correlations among numeric parameters, mean scores and the train − test gap."""
     cols = [*params, "mean_test", "mean_train"]
-    table = results.select(*[F.expr(f"try_cast(`{c}` as double)").alias(c) for c in cols])
+    table = results.select(*[to_numeric(c).alias(c) for c in cols])
     return stats.corr_matrix(table.withColumn("gap", absolute_gap("mean_train", "mean_test")), [*cols, "gap"])
 
 

@@ -205,7 +205,7 @@ def kmeans_tfidf(t):
     from graniteflow.operators.classify import TfidfWeights
 
     words = t.documents.select("doc_id", "lang", tx.legal_words(tx.tokens("text")).alias("words"))
-    counts = CountVectorizer(inputCol="words", outputCol="tf", minDF=3, vocabSize=1 << 22).fit(words)
+    counts = CountVectorizer(inputCol="words", outputCol="tf", minDF=3, vocabSize=2**31 - 1).fit(words)
     weighted = TfidfWeights(inputCol="tf", outputCol="features").fit(counts.transform(words)).transform(counts.transform(words)).persist()
     model, _ = cluster.kmeans(weighted, 4, n_init=2, max_iter=10)
     found = model.transform(weighted).select("lang", F.col("prediction").alias("pred"))

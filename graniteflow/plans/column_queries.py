@@ -88,15 +88,15 @@ def folder_scan(t):
 
 
 @query("word_vector_scan", with_sql(TOKENS, sql_word_vectors("tokens", "token"), """
-SELECT count(*) AS n, """ + ", ".join(f"round(sum(v{j}), 4) AS s{j}" for j in range(8)) + " FROM known"))
+SELECT count(*) AS n, count(*) AS n_rejected, """ + ", ".join(f"round(sum(v{j}), 4) AS s{j}" for j in range(8)) + " FROM known"))
 def word_vector_scan(t):
     vectors = word_vectors(doc_tokens(t), "token")
     lines = vectors.select(F.concat_ws(" ", "word", F.array_join(F.col("v").cast("array<string>"), " ")).alias("value"))
     short = vectors.select(F.concat_ws(" ", "word", F.lit("0.5")).alias("value"))
     path = writers.write_table(lines.unionByName(short), scratch_path(t.spark, "vectors"), "text")
-    back = readers.read_word_vectors(t.spark, path, 8)
+    back = readers.word_vector_lines(t.spark, path, 8)
     return back.agg(
-        F.count(F.lit(1)).alias("n"), *[F.round(F.sum(F.col("v")[j].cast("double")), 4).alias(f"s{j}") for j in range(8)]
+        F.count("v").alias("n"), F.count("rejected").alias("n_rejected"), *[F.round(F.sum(F.col("v")[j].cast("double")), 4).alias(f"s{j}") for j in range(8)]
     )
 
 
@@ -161,13 +161,11 @@ def rollup_label(t):
 
 
 @query("to_numeric", """
-SELECT word, TRY_CAST(word AS DOUBLE) AS number
-FROM (SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM documents)
-WHERE regexp_full_match(word, '[0-9.]*[0-9][0-9.]*[a-z]?')""")
+SELECT word, CASE WHEN regexp_full_match(word, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN TRY_CAST(word AS DOUBLE) END AS number
+FROM (SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM documents)""")
 def to_numeric(t):
     words = t.documents.select(F.explode(F.split("text", " ")).alias("word")).distinct()
-    plain = words.where(F.rlike("word", F.lit(r"^[0-9.]*[0-9][0-9.]*[a-z]?\z")))
-    return plain.select("word", F.when(~F.rlike("word", F.lit("[a-z]")), cx.to_numeric("word")).alias("number"))
+    return words.select("word", cx.to_numeric("word").alias("number"))
 
 
 @query("count_alnum", r"SELECT doc_id, length(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g')) AS n_alnum FROM documents")

@@ -15,7 +15,7 @@ from graniteflow.plans.cluster_queries import points
 from graniteflow.plans.regress_queries import KEYS, LINEAR, Z, scaled_prices
 from graniteflow.plans.sqltools import sql_gram, sql_solve
 from graniteflow.plans.views import NET_PRICE, sql_unit, with_sql
-from graniteflow.session import scratch_path, spread
+from graniteflow.session import cut_lineage, scratch_path, spread
 from graniteflow.sources.writers import load_model, save_model
 
 # --------------------------------------------- documents as three numbers
@@ -91,41 +91,44 @@ def logistic(t):
 
 @query("logistic_l1")
 def logistic_l1(t):
-    rows = labelled_docs(t).persist()
+    rows = cut_lineage(labelled_docs(t))
     found = []
     for c in (0.01, 1.0, 100.0):
-        model = classify.logistic(rows, "l1", c, max_iter=25, tol=1e-6)
+        model = classify.logistic(rows, "l1", c, max_iter=500, tol=1e-10)
         found += [(c, n, float(b)) for n, b in zip(DOC_X, model.coefficients)]
     return t.spark.createDataFrame(found, "c double, feature string, coef double")
 
 
 @query("linear_svm")
 def linear_svm(t):
-    rows = labelled_docs(t).persist()
-    runs = [classify.linear_svm(rows, c, max_iter=10).transform(rows).select(F.lit(c).alias("c"), "label", "prediction") for c in (0.01, 100.0)]
+    train, test = split.split(cut_lineage(labelled_docs(t)), "doc_id", 0.2, seed=42)
+    runs = [classify.linear_svm(train, c).transform(test).select(F.lit(c).alias("c"), "label", "prediction") for c in (0.01, 100.0)]
     return metrics.binary_metrics(stats.union_all(runs), "label", "prediction", 1.0, ["c"])
 
 
 @query("one_vs_one")
 def one_vs_one(t):
-    rows = labelled_docs(t).withColumn("label", F.col("lang_no"))
-    model = classify.one_vs_one(rows, lambda part: classify.linear_svm(part, 1.0, max_iter=10))
-    return model.transform(rows).select("doc_id", "lang", "prediction")
+    rows = cut_lineage(classify.class_weights(labelled_docs(t).withColumn("label", F.col("lang_no")), "label"))
+    train, test = split.split(rows, "doc_id", 0.2, seed=42)
+    model = classify.one_vs_one(train, lambda part: classify.linear_svm(part, 1.0, weight="weight"))
+    return model.transform(test).select("doc_id", "lang", "prediction")
 
 
 @query("one_vs_rest")
 def one_vs_rest(t):
-    rows = classify.class_weights(labelled_docs(t).withColumn("label", F.col("lang_no")), "label")
-    model = classify.one_vs_rest(rows, LogisticRegression(maxIter=50), weight="weight")
-    return metrics.macro_metrics(model.transform(rows), "label", "prediction")
+    rows = cut_lineage(classify.class_weights(labelled_docs(t).withColumn("label", F.col("lang_no")), "label"))
+    train, test = split.split(rows, "doc_id", 0.2, seed=42)
+    model = classify.one_vs_rest(train, LogisticRegression(maxIter=500), weight="weight")
+    return metrics.macro_metrics(model.transform(test), "label", "prediction")
 
 
 @query("mlp_classifier")
 def mlp_classifier(t):
     rows = vectorize.standard_scale(doc_numbers(t), DOC_X).withColumn("x", F.array(*DOC_X))
     rows = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc").fit(rows).transform(rows)
-    model = neural.mlp_classifier(rows, "x", "label", 3, [16], 4, rate=0.05, steps=30)
-    scored = rows.withColumn("prediction", model.predict_class("x").cast("double"))
+    train, test = split.split(rows, "doc_id", 0.2, seed=42)
+    model = neural.mlp_classifier(train, "x", "label", 3, [16], 4, rate=0.05, steps=30)
+    scored = test.withColumn("prediction", model.predict_class("x").cast("double"))
     return metrics.macro_metrics(scored, "label", "prediction")
 
 
@@ -223,10 +226,10 @@ def oob_error(t):
 # ------------------------------------------------------------------- searches
 @query("search_one_param")
 def search_one_param(t):
-    rows = split.with_fold(labelled_docs(t), "doc_id", 3, seed=2).persist()
-    found = []
+    rows = cut_lineage(split.with_fold(labelled_docs(t), "doc_id", 3, seed=2))
+    found, size = [], rows.where("fold <> 0").count()
     for c in (1e-3, 1.0, 1e3):
-        make = lambda c=c: LinearSVC(regParam=1.0 / (c * 600), standardization=False, maxIter=8)
+        make = lambda c=c: LinearSVC(regParam=classify.reg_param(c, size), standardization=False, maxIter=100, tol=1e-4)
         found += tuning.cross_validate(make, rows, "fold", range(3), tuning.MacroF1("label"), f"C={c}", parallelism=3)
     return tuning.cv_results(tuning.scores_table(t.spark, found), ["candidate"])
 

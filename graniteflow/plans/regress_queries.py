@@ -73,10 +73,12 @@ def lasso_path(t):
 
 @query("ols_tests", with_sql(NET_PRICE, Z, GRAM, *sql_solve("sol", "gram", 5, inverse=True),
                              f"fit AS (SELECT *, {sql_mse(5)}*g_0_0/(g_0_0-5) AS s2 FROM sol)",
-                             " UNION ALL ".join(f"SELECT '{c}' AS feature, round(b_{i}/sqrt(s2*d_{i}), 4) AS t FROM fit" for i, c in COEFS[1:])))
+                             " UNION ALL ".join(f"SELECT '{c}' AS feature, round(b_{i}, 4) AS coef, round(b_{i}/sqrt(s2*d_{i}), 4) AS t, "
+                                                f"abs(b_{i}/sqrt(s2*d_{i})) > 1.96 AS significant FROM fit" for i, c in COEFS)))
 def ols_tests(t):
-    out = regress.ols_tests(scaled_prices(t), LINEAR, "price").where("feature <> 'const'")
-    return out.select("feature", F.round("t", 4).alias("t"))
+    """The rows are so many that a p-value below 0.05 is a t beyond 1.96."""
+    out = regress.ols_tests(scaled_prices(t), LINEAR, "price")
+    return out.select("feature", F.round("coef", 4).alias("coef"), F.round("t", 4).alias("t"), (F.col("p_value") < 0.05).alias("significant"))
 
 
 POLY_TERMS = ["l_discount", "l_tax", "dd", "dt", "tt"]

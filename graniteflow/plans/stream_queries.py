@@ -19,12 +19,11 @@ def _events(t):
 
 
 @query("hourly_counts_stream", """
-SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS hour_start, event_type, count(*) AS n FROM events
-WHERE date_trunc('hour', ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events) GROUP BY ALL""")
+SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS hour_start, event_type, count(*) AS n FROM events GROUP BY ALL""")
 def hourly_counts_stream(t):
-    """Append mode: an hour is final when the watermark (one hour behind the latest row) has passed its end."""
+    """All hours as they stand when the input ends, the open ones too."""
     counts = streams.hourly_counts(_events(t), "ts", "event_type")
-    out = streams.append_to_table(counts, "hourly")
+    out = streams.latest_totals(counts, ["hour_start", "event_type"], "hourly")
     return out.select(epoch_seconds("hour_start").alias("hour_start"), "event_type", "n")
 
 
@@ -35,7 +34,7 @@ def source_stats_stream(t):
         F.col("event_type").alias("tag"), F.get_json_object("props", "$.k").cast("bigint").alias("followers"),
         F.floor("value").alias("retweets"),
     )
-    out = streams.latest_totals(streams.running_source_stats(rows, "tag", ["followers", "retweets"]), "sources")
+    out = streams.latest_totals(streams.running_source_stats(rows, "tag", ["followers", "retweets"]), ["tag"], "sources")
     return out.select("tag", "n", F.round("mean_followers", 6).alias("mean_followers"), F.round("mean_retweets", 6).alias("mean_retweets"))
 
 

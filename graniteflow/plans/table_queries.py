@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from itertools import accumulate, takewhile
+
 from pyspark.sql import functions as F
 
 from graniteflow.functions import columns as cx
@@ -88,15 +91,16 @@ def user_mean(t):
 counts AS (SELECT least(CAST(floor(rating/0.5) AS BIGINT), 9) AS bin, count(*) AS n FROM ratings GROUP BY 1)""", """
 SELECT g.bin, CAST(g.bin*0.5 AS DOUBLE) AS left_edge, coalesce(n, 0) AS n FROM (SELECT unnest(range(10)) AS bin) g LEFT JOIN counts USING (bin)"""))
 def rating_histogram(t):
-    return stats.histogram(ratings(t), "rating", 0.0, 5.0, 10)
+    return stats.histogram(ratings(t), "rating", 10, 0.0, 5.0)
 
 
 @query("length_histogram", """
-WITH counts AS (SELECT least(CAST(floor(n_chars/500.0) AS BIGINT), 49) AS bin, count(*) AS n
-                FROM documents WHERE n_chars BETWEEN 0 AND 25000 GROUP BY 1)
-SELECT g.bin, CAST(g.bin*500.0 AS DOUBLE) AS left_edge, coalesce(n, 0) AS n FROM (SELECT unnest(range(50)) AS bin) g LEFT JOIN counts USING (bin)""")
+WITH ends AS (SELECT min(n_chars)::DOUBLE AS lo, (max(n_chars) - min(n_chars))::DOUBLE/50 AS width FROM documents),
+counts AS (SELECT least(CAST(floor((n_chars - lo)/width) AS BIGINT), 49) AS bin, count(*) AS n FROM documents CROSS JOIN ends GROUP BY 1)
+SELECT g.bin, round(lo + g.bin*width, 6) AS left_edge, coalesce(n, 0) AS n
+FROM (SELECT unnest(range(50)) AS bin) g CROSS JOIN ends LEFT JOIN counts USING (bin)""")
 def length_histogram(t):
-    return stats.histogram(t.documents, "n_chars", 0.0, 25000.0, 50)
+    return stats.histogram(t.documents, "n_chars", 50).withColumn("left_edge", F.round("left_edge", 6))
 
 
 @query("box_stats", with_sql(NET_PRICE, """
@@ -204,8 +208,8 @@ def kfold(t):
     return split.with_fold(t.orders.select("o_orderkey"), "o_orderkey", 5, seed=9)
 
 
-POISSON = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563,
-           0.9994058151824183, 0.9999167588507119, 0.9999897508033253]
+#: P(weight <= j) of a Poisson(1) weight for all j whose tail exceeds 2^-32, the finest step of the hash.
+POISSON = list(takewhile(lambda p: 1 - p > 2.0**-32, accumulate(math.exp(-1.0) / math.factorial(j) for j in range(40))))
 
 
 @query("bootstrap", f"""

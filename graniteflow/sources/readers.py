@@ -41,15 +41,23 @@ def scan_folder(
     return rows.select("*", F.regexp_extract(name, name_pattern, 1).alias(tag))
 
 
-def read_word_vectors(spark: SparkSession, path: str, dim: int) -> DataFrame:
-    """Lines ``word v1 … vd``; lines with another number of values are dropped."""
+def word_vector_lines(spark: SparkSession, path: str, dim: int) -> DataFrame:
+    """(word, v, rejected) per line ``word v1 … vd``; a line with another number of values is in ``rejected`` alone."""
     cells = F.split("value", " ")
-    return (
-        spark.read.text(path).select(cells.alias("c")).where(F.size("c") == dim + 1)
-        .select(F.col("c")[0].alias("word"), F.slice("c", 2, dim).cast("array<float>").alias("v"))
+    fits = F.size(cells) == dim + 1
+    return spark.read.text(path).select(
+        F.when(fits, cells[0]).alias("word"), F.when(fits, F.slice(cells, 2, dim).cast("array<float>")).alias("v"),
+        F.when(~fits, F.col("value")).alias("rejected"),
     )
 
 
+def read_word_vectors(spark: SparkSession, path: str, dim: int) -> DataFrame:
+    """(word, v) of every line; fails on a line with another number of values."""
+    lines = word_vector_lines(spark, path, dim)
+    stop = F.raise_error(F.concat(F.lit(f"not a word and {dim} values: "), F.substring("rejected", 1, 80)))
+    return lines.select(F.when(F.col("rejected").isNull(), F.col("word")).otherwise(stop).alias("word"), "v")
+
+
 def read_features(spark: SparkSession, path: str, array_col: str = "embedding", vector_col: str = "features") -> DataFrame:
     """Parquet feature bundle with the array also as an ML vector."""
     rows = spark.read.parquet(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +21,11 @@ def file_stream(
     return reader.parquet(folder)
 
 
-def hourly_counts(stream: DataFrame, time: str, tag: str, late: str = "1 hour") -> DataFrame:
-    """Rows per tumbling hour and tag; late rows are taken up to the watermark."""
-    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
+def hourly_counts(stream: DataFrame, time: str, tag: str, late: str | None = None) -> DataFrame:
+    """Rows per tumbling hour and tag. With ``late``, rows behind that watermark are dropped and the
+    state of older hours is freed; without it every row counts, and the state is a row per hour and tag."""
+    timed = stream.withColumn(time, F.col(time).cast("timestamp"))
+    timed = timed.withWatermark(time, late) if late else timed
     return timed.groupBy(F.window(time, "1 hour").alias("w"), tag).agg(F.count(F.lit(1)).alias("n")).select(
         F.col("w.start").cast("timestamp_ntz").alias("hour_start"), tag, "n"
     )
@@ -54,15 +55,22 @@ def append_to_table(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def latest_totals(stream: DataFrame, label: str) -> DataFrame:
-    """Process all available input and return the running totals as they stand.
+def latest_totals(stream: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Process all available input and return the aggregates as they stand, one row per ``keys``.
 
-    For aggregations whose keys are few by nature (one row per source): the
-    complete result is held as a table in memory.
+    Every batch writes its changed rows to a folder of its own in a shared table, which a
+    retry overwrites; the latest row of a key counts. Open windows are included.
     """
     spark = stream.sparkSession
-    name = f"{label}_{uuid.uuid4().hex}"
-    stream.writeStream.format("memory").queryName(name).outputMode("complete").option(
-        "checkpointLocation", scratch_path(spark, f"{label}-state")
-    ).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    out, state = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
+    spark.createDataFrame([], stream.schema).write.parquet(f"{out}/batch=-1")
+
+    def store(rows: DataFrame, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    stream.writeStream.foreachBatch(store).outputMode("update").option("checkpointLocation", state).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    values = [c for c in stream.columns if c not in keys]
+    latest = F.max_by(F.struct(*values), "batch").alias("_v")
+    return spark.read.parquet(out).groupBy(*keys).agg(latest).select(*keys, "_v.*").select(*stream.columns)

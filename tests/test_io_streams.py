@@ -22,10 +22,15 @@ def test_csv_text_over_several_lines(spark, tmp_path):
     assert readers.read_csv(spark, path, rows.schema).first()["t"] == "two\nlines"
 
 
-def test_word_vectors_drop_wrong_lengths(spark, tmp_path):
-    (tmp_path / "v.txt").write_text("a 1 2\nb 1\nc 3 4\n")
+def test_word_vectors_report_wrong_lengths(spark, tmp_path):
+    (tmp_path / "v.txt").write_text("a 1 2\nc 3 4\n")
+    (tmp_path / "w.txt").write_text("a 1 2\nb 1\n")
     got = {r["word"]: r["v"] for r in readers.read_word_vectors(spark, str(tmp_path / "v.txt"), 2).collect()}
     assert got == {"a": [1.0, 2.0], "c": [3.0, 4.0]}
+    lines = readers.word_vector_lines(spark, str(tmp_path / "w.txt"), 2).collect()
+    assert {(r["word"], r["rejected"]) for r in lines} == {("a", None), (None, "b 1")}
+    with pytest.raises(Exception, match="not a word and 2 values"):
+        readers.read_word_vectors(spark, str(tmp_path / "w.txt"), 2).collect()
 
 
 def test_folder_scan_tags_by_file_name(spark, tmp_path):
@@ -80,7 +85,7 @@ def folder(spark, tmp_path):
 
 def test_append_stream_drops_rows_behind_the_watermark(spark, folder):
     path, schema = folder
-    counts = streams.hourly_counts(streams.file_stream(spark, path, schema, files_per_trigger=1), "ts", "tag")
+    counts = streams.hourly_counts(streams.file_stream(spark, path, schema, files_per_trigger=1), "ts", "tag", "1 hour")
     got = {(str(r["hour_start"]), r["tag"]): r["n"] for r in streams.append_to_table(counts, "h").collect()}
     assert got == {("2024-01-01 00:00:00", "a"): 2, ("2024-01-01 05:00:00", "b"): 1, ("2024-01-01 06:00:00", "b"): 1}
 
@@ -88,5 +93,8 @@ def test_append_stream_drops_rows_behind_the_watermark(spark, folder):
 def test_running_totals_see_all_rows(spark, folder):
     path, schema = folder
     stats = streams.running_source_stats(streams.file_stream(spark, path, schema, files_per_trigger=1), "tag", ["value"])
-    got = {r["tag"]: (r["n"], r["mean_value"]) for r in streams.latest_totals(stats, "t").collect()}
+    got = {r["tag"]: (r["n"], r["mean_value"]) for r in streams.latest_totals(stats, ["tag"], "t").collect()}
     assert got == {"a": (3, pytest.approx(13 / 3)), "b": (3, pytest.approx(19 / 3))}
+    hours = streams.hourly_counts(streams.file_stream(spark, path, schema, files_per_trigger=1), "ts", "tag")
+    got = {(str(r["hour_start"])[11:13], r["tag"]): r["n"] for r in streams.latest_totals(hours, ["hour_start", "tag"], "h").collect()}
+    assert got == {("00", "a"): 3, ("05", "b"): 1, ("06", "b"): 1, ("09", "b"): 1}

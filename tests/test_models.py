@@ -95,7 +95,9 @@ def test_trees(spark, table):
     assert all(abs(r[0] - 1) < 1e-9 for r in report.groupBy("tree").agg(F.sum("importance")).select("sum(importance)").collect())
     row = table.first()
     assert model.predict(row["features"]) == pytest.approx(np.mean([t.predict(row["features"]) for t in model.trees]))
-    assert regress.random_forest("features", "y", depth=2500).getMaxDepth() == 30
+    assert regress.random_forest("features", "y").getMaxDepth() == 30
+    with pytest.raises(ValueError):
+        regress.random_forest("features", "y", depth=2500)
     short, longer = (regress.gbt("features", "y", "ordered", maxIter=n, maxDepth=3).fit(table) for n in (2, 8))
     rmse = lambda m: metrics.regression_metrics(m.transform(table), "y", "prediction").first()["rmse"]
     assert rmse(longer) < rmse(short)

@@ -22,7 +22,9 @@ def test_scalar_columns(spark):
 
 def test_to_numeric_profile_and_types(spark):
     df = spark.createDataFrame([("1.5", 1.0), ("x", None)], "t string, d double")
-    assert [r[0] for r in df.select(cx.to_numeric("t")).collect()] == [1.5, None]
+    texts = {"1.5": 1.5, "x": None, "5d": None, "5f": None, "1.5D": None, " 7 ": 7.0, "-.5e2": -50.0, "": None, "1.": 1.0, ".": None, "1e": None}
+    words = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r["t"]: r["v"] for r in words.select("t", cx.to_numeric("t").alias("v")).collect()} == texts
     assert rows(cx.profile(df), "column_name", "n_rows", "n_present") == [("d", 2, 1), ("t", 2, 2)]
     assert cx.columns_of(df, DoubleType) == ["d"]
 
@@ -83,8 +85,21 @@ def test_box_stats_outliers(spark):
 
 def test_histogram_last_bin_is_closed_and_empty_bins_stay(spark):
     df = spark.createDataFrame([(0.0,), (0.5,), (5.0,), (4.6,), (None,)], "x double")
-    got = {r["bin"]: r["n"] for r in stats.histogram(df, "x", 0.0, 5.0, 10).collect()}
+    got = {r["bin"]: r["n"] for r in stats.histogram(df, "x", 10, 0.0, 5.0).collect()}
     assert got[0] == 1 and got[1] == 1 and got[9] == 2 and sum(got.values()) == 4 and len(got) == 10
+    assert [(r["left_edge"], r["n"]) for r in stats.histogram(df, "x", 2).orderBy("bin").collect()] == [(0.0, 2), (2.5, 2)]
+    assert [r["n"] for r in stats.histogram(df.where("x = 5"), "x", 2).orderBy("bin").collect()] == [0, 1]
+    assert sum(r["n"] for r in stats.histogram(df.where("x < 0"), "x", 3).collect()) == 0
+    with pytest.raises(ValueError):
+        stats.histogram(df, "x", 10, 0.0, 4.9)
+
+
+def test_quantiles_of_a_frequent_value(spark):
+    df = spark.createDataFrame([("a", 7.0)] * 90 + [("a", float(i)) for i in range(10)] + [("b", None)], "k string, x double")
+    row = ordering.quantiles(df, "x", [0.05, 0.5, 0.075, 1.0], ["k"]).collect()
+    values = sorted([7.0] * 90 + [float(i) for i in range(10)])
+    expected = [float(np.quantile(values, q)) for q in (0.05, 0.5, 0.075, 1.0)]
+    assert len(row) == 1 and row[0]["n"] == 100 and [row[0][f"q{i}"] for i in range(4)] == pytest.approx(expected)
 
 
 def test_rank_results_ties_share_the_smaller_rank(spark):
