@@ -123,7 +123,7 @@ def _entropies() -> dict[str, Column]:
     }
 
 
-def _expected_mi(sizes: DataFrame, keys: list[str], chunk: int = 65536) -> DataFrame:
+def _expected_mi(sizes: DataFrame, keys: list[str], chunk: int = 65536, parts: int = 16) -> DataFrame:
     """Expected mutual information of random labelings with the same sizes.
 
     Equal sizes are grouped first. The sum over overlaps is cut into chunks of
@@ -137,7 +137,10 @@ def _expected_mi(sizes: DataFrame, keys: list[str], chunk: int = 65536) -> DataF
     anchor = [*keys] or ["_one"]
     if not keys:
         rows, cols, total = (d.withColumn("_one", F.lit(1)) for d in (rows, cols, total))
-    pairs = rows.join(cols, anchor).join(total, anchor)
+    # The row sizes of one run are dealt over several keys, so a large run is no single task.
+    rows = rows.withColumn("_part", F.pmod(F.hash("a"), F.lit(parts)))
+    cols = cols.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    pairs = rows.join(cols, [*anchor, "_part"]).drop("_part").join(total, anchor)
     low = F.greatest(F.lit(1).cast("bigint"), F.col("a") + F.col("b") - F.col("n"))
     high = F.least("a", "b")
     starts = pairs.withColumns({"low": low, "high": high}).withColumn(

@@ -135,10 +135,16 @@ def scores_table(spark: SparkSession, rows: list[dict]) -> DataFrame:
 
 
 def cv_results(scores: DataFrame, by: list[str], test: str = "test_score", train: str = "train_score") -> DataFrame:
-    """Mean and population deviation over folds per candidate, with the competition rank."""
+    """Mean and population deviation over folds per candidate, with the competition rank.
+
+    If the scores have folds and times, ``fold_scores`` (test scores in order of the folds) and the
+    mean and deviation of the seconds to fit and to score are added.
+    """
+    more = [F.transform(F.sort_array(F.collect_list(F.struct("fold", test))), lambda x: x[test]).alias("fold_scores")] if "fold" in scores.columns else []
+    more += [f(f"{c}_seconds").alias(f"{n}_{c}_seconds") for c in ("fit", "score") if f"{c}_seconds" in scores.columns for n, f in (("mean", F.avg), ("std", F.stddev_pop))]
     table = scores.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_folds"), F.avg(test).alias("mean_test"), F.stddev_pop(test).alias("std_test"),
-        F.avg(train).alias("mean_train"),
+        F.avg(train).alias("mean_train"), *more,
     )
     return stats.rank_results(table.withColumn("mean_test", F.round("mean_test", 9)), "mean_test")
 
