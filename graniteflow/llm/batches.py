@@ -11,7 +11,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: A slice has at most so many rows, and ends at the row that brings it to so many bytes.
-SLICE_ROWS, SLICE_BYTES = 1000, 3_000_000
+SLICE_ROWS, SLICE_BYTES = 500, 1_000_000
+
+_held: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object]) -> object:
+    """An object that a Python worker keeps from task to task; it keeps one, the last asked for."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
+def release() -> None:
+    """Drop what ``held`` keeps."""
+    _held.clear()
 
 
 def _slices(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -45,6 +60,7 @@ def add_columns(df: DataFrame, text_col: str, schema: str, make: Callable[[], Ca
     names, n = [f.name for f in out.fields], len(keep)
 
     def run(batches):
+        release()
         compute = make()
         for batch in batches:
             for a, b, texts in text_slices(batch, n):
@@ -59,6 +75,7 @@ def keep_rows(df: DataFrame, text_col: str, make: Callable[[], Callable[[list[by
     at = df.columns.index(text_col)
 
     def run(batches):
+        release()
         compute = make()
         for batch in batches:
             for a, b, texts in text_slices(batch, at):

@@ -11,7 +11,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from graniteflow.llm.batches import text_slices
+from graniteflow.llm.batches import held, text_slices
 from graniteflow.session import cut_lineage
 
 END = 1
@@ -51,7 +50,7 @@ class ChunkIds(dict):
 
     _WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]?)")
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -63,10 +62,10 @@ class ChunkIds(dict):
 
     def _reset(self) -> None:
         self.clear()
-        self.words: dict[str, np.ndarray] = {}
+        self.words: dict[str, int] = {}  # first id in the array, times 2^16, plus the number of ids
         self.fresh: list[bytes] = []
         self.flat, self.used = np.array([END] * 4096, np.uint32), 1
-        self.starts, self.lens = np.zeros(4096, np.int64), np.ones(4096, np.int64)  # chunk 0 is the end of a document
+        self.starts, self.lens = np.zeros(4096, np.int64), np.ones(4096, np.int32)  # chunk 0 is the end of a document
 
     def __missing__(self, chunk: bytes) -> int:
         self.fresh.append(chunk)
@@ -77,14 +76,15 @@ class ChunkIds(dict):
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in found]
 
-    def _learn_words(self, words: list[str]) -> None:
+    def _encode_words(self, words: list[str]) -> dict[str, np.ndarray]:
+        """Ids of words of letters, 500 in one call."""
+        found: dict[str, np.ndarray] = {}
         for a in range(0, len(words), 500):
             some = words[a : a + 500]
             ids = self._encode_all([" ".join(some)])[0]
             parts = np.split(ids, np.flatnonzero(self.closes[ids])[:-1] + 1)
-            if len(parts) != len(some):
-                parts = self._encode_all(some)
-            self.words.update(zip(some, parts, strict=True))
+            found.update(zip(some, parts if len(parts) == len(some) else self._encode_all(some), strict=True))
+        return found
 
     def _learn(self) -> None:
         """Ids of the chunks met for the first time."""
@@ -92,23 +92,29 @@ class ChunkIds(dict):
         words = [m[1].decode().lower() if m else "" for m in split]
         marks = [m[2].decode() if m else "" for m in split]
         known = self.words
-        self._learn_words([w for w in dict.fromkeys([*words, *marks]) if w and w[0].isalpha() and w not in known])
-        for mark in set(marks) - {""} - known.keys():
-            known[mark] = self._encode_all([mark])[0]
-        others = [c.decode() for c, m in zip(self.fresh, split, strict=True) if not m]
-        rest = iter(self._encode_all(others))
+        learned = self._encode_words([w for w in dict.fromkeys(words) if w and w not in known])
+        ends = {m: self._encode_all([m])[0] for m in set(marks) if m}
+        rest = iter(self._encode_all([c.decode() for c, m in zip(self.fresh, split, strict=True) if not m]))
         parts: list[np.ndarray] = []
         lens = np.empty(len(split), np.int64)
+        at = self.used
         for i, (word, mark) in enumerate(zip(words, marks, strict=True)):
-            if word:
-                parts.append(known[word])
-                lens[i] = len(parts[-1])
-                if mark:
-                    parts.append(known[mark])
-                    lens[i] += len(parts[-1])
+            if not word:
+                part = next(rest)
+            elif (spot := known.get(word)) is None:
+                part = learned[word]
+                if len(part) < 1 << 16:
+                    known[word] = at << 16 | len(part)
+            elif (start := spot >> 16) >= self.used:  # met in this very call
+                part = learned[word]
             else:
-                parts.append(next(rest))
-                lens[i] = len(parts[-1])
+                part = self.flat[start : start + (spot & 0xFFFF)]
+            parts.append(part)
+            lens[i] = len(part)
+            if mark:
+                parts.append(ends[mark])
+                lens[i] += len(parts[-1])
+            at += int(lens[i])
         self.fresh.clear()
         new = np.concatenate(parts)
         first, last, used = len(self) + 1 - len(lens), len(self) + 1, self.used + len(new)
@@ -131,17 +137,16 @@ class ChunkIds(dict):
         if self.fresh:
             self._learn()
         order = np.insert(numbers, np.cumsum(counts), 0)
-        lens = self.lens[order]
+        lens = self.lens[order].astype(np.int64)
         ends = np.cumsum(lens)
         shift = self.starts[order] - (ends - lens)
         ids = self.flat[np.repeat(shift, lens) + np.arange(ends[-1] if len(ends) else 0)]
         return ids, np.diff(ends[np.cumsum(counts + 1) - 1], prepend=0)
 
 
-@lru_cache(maxsize=1)
 def chunk_ids(path: str) -> ChunkIds:
-    """One cache per Python worker, kept from task to task."""
-    return ChunkIds(path)
+    """The cache of a Python worker."""
+    return held(f"chunks {path}", lambda: ChunkIds(path))
 
 
 def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, capacity: int = CAPACITY) -> DataFrame:

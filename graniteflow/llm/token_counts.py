@@ -9,7 +9,6 @@ the new split meets again, and updates the sums above the changed leaves.
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -17,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from graniteflow.llm.batches import held
+
 LEAF = 64
 #: Distinct pre-tokens whose counts a worker remembers.
 REMEMBERED = 500_000
@@ -45,14 +46,13 @@ class Splitter:
         return [known[p] for p in pieces]
 
 
-@lru_cache(maxsize=1)
 def splitter(path: str | None) -> Splitter:
     """One per Python worker; without a path, the public byte-level vocabulary."""
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return Splitter(path)
+    return held(f"splitter {path}", lambda: Splitter(path))
 
 
 class CountTree:
