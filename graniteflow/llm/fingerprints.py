@@ -18,6 +18,8 @@ from graniteflow.llm.order import deal_by_order
 from graniteflow.session import cut_lineage
 
 BITS = 128
+#: Radius and blocks at which texts count as near copies; README.md has the measured recall.
+NEAR_RADIUS, NEAR_BLOCKS = 20, 8
 _LANES = 0x0000000100000001
 _GAP = r"[\x20\x09-\x0D]+"
 #: At the start of every word: the word and the one after it.
@@ -83,17 +85,20 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def _parts(hi: Column, lo: Column, blocks: int) -> list[Column]:
+    """The blocks of a fingerprint, or of the difference of two."""
+    each = BITS // blocks
+    mask = F.lit((1 << each) - 1)
+    halves = [(hi, b) if b < blocks // 2 else (lo, b - blocks // 2) for b in range(blocks)]
+    return [F.shiftrightunsigned(half, spot * each).bitwiseAND(mask) for half, spot in halves]
+
+
 def _tables(hi: Column, lo: Column, blocks: int, radius: int) -> Column:
     """Keys of all permuted block tables: every choice of ``blocks - radius`` blocks leads one table.
 
     Two fingerprints within the radius agree in at least that many blocks.
     """
-    each = BITS // blocks
-    mask = F.lit((1 << each) - 1)
-    values = []
-    for b in range(blocks):
-        half, spot = (hi, b) if b < blocks // 2 else (lo, b - blocks // 2)
-        values.append(F.shiftrightunsigned(half, spot * each).bitwiseAND(mask))
+    values = _parts(hi, lo, blocks)
     rows = [
         F.struct(F.lit(t).alias("_table"), F.xxhash64(*[values[b] for b in choice]).alias("_block"))
         for t, choice in enumerate(combinations(range(blocks), blocks - radius))
@@ -101,26 +106,62 @@ def _tables(hi: Column, lo: Column, blocks: int, radius: int) -> Column:
     return F.array(*rows)
 
 
-def within_radius(queries: DataFrame, prints: DataFrame, radius: int = 3, blocks: int = 4) -> DataFrame:
-    """(``_hi``, ``_lo``, ``n_within``): rows of ``prints`` within ``radius`` bits of each distinct query.
+def _reaches(blocks: int, radius: int) -> list[int]:
+    """Bits by which each block may differ: two fingerprints within the radius keep to it in one block at least."""
+    each, more = divmod(radius + 1, blocks)
+    return [each - 1 + (b < more) for b in range(blocks)]
+
+
+def _probes(hi: Column, lo: Column, blocks: int, radius: int) -> Column:
+    """Keys of every block with up to its reach of bits flipped, one table for each block."""
+    each = BITS // blocks
+
+    def table(t: int, value: Column, reach: int) -> Column:
+        masks = [sum(1 << b for b in bits) for n in range(reach + 1) for bits in combinations(range(each), n)]
+        flips = F.array(*[F.lit(m).cast("bigint") for m in masks])
+        return F.transform(flips, lambda m: F.struct(F.lit(t).alias("_table"), value.bitwiseXOR(m).alias("_block")))
+
+    return F.flatten(F.array(*[table(t, *x) for t, x in enumerate(zip(_parts(hi, lo, blocks), _reaches(blocks, radius)))]))
+
+
+def pairs_within(queries: DataFrame, prints: DataFrame, radius: int = 3, blocks: int = 4) -> DataFrame:
+    """(``_hi``, ``_lo``, ``_hi2``, ``_lo2``, ``distance``, ``_copies``): all pairs of a distinct query and a
+    distinct fingerprint of ``prints`` within ``radius`` bits, with the rows of ``prints`` that have it.
 
     Both inputs have ``_hi`` and ``_lo``. Equal fingerprints are counted together before
-    the join, so a group of copies is one row. Each table of the permuted blocks is an
-    equality join on its leading blocks (``blocks`` is 4, 8 or 16 and above ``radius``);
-    a pair that meets in several tables counts in the first.
+    the join, so a group of copies is one row. ``blocks`` is 4, 8 or 16. Below ``blocks``
+    bits, each table of the permuted blocks is an equality join on its leading blocks;
+    from there on, each block is a table in which the queries are looked up with all flips
+    of up to its reach of bits. A pair that meets in several tables counts in the first.
     """
-    if blocks not in (4, 8, 16) or not 0 <= radius < blocks:
-        raise ValueError("blocks must be 4, 8 or 16 and above the radius")
+    if blocks not in (4, 8, 16) or not 0 <= radius < 4 * blocks:
+        raise ValueError("blocks must be 4, 8 or 16 and above a quarter of the radius")
     counted = prints.groupBy("_hi", "_lo").agg(F.count(F.lit(1)).alias("_copies"))
     left = queries.select("_hi", "_lo").distinct()
-    keys = lambda a, b: _tables(F.col(a), F.col(b), blocks, radius)
-    q = left.select("_hi", "_lo", F.explode(keys("_hi", "_lo")).alias("_t")).select("_hi", "_lo", "_t.*")
-    p = counted.select(F.col("_hi").alias("_hi2"), F.col("_lo").alias("_lo2"), "_copies", F.explode(keys("_hi", "_lo")).alias("_t"))
+    apart = [F.col(a).bitwiseXOR(F.col(b)) for a, b in (("_hi", "_hi2"), ("_lo", "_lo2"))]
+    if radius < blocks:
+        asked = kept = lambda a, b: _tables(F.col(a), F.col(b), blocks, radius)
+        mine, theirs = asked("_hi", "_lo"), kept("_hi2", "_lo2")
+        first = F.array_position(F.zip_with(mine, theirs, lambda a, b: a["_block"] == b["_block"]), F.lit(True)) - 1
+    else:
+        asked = lambda a, b: _probes(F.col(a), F.col(b), blocks, radius)
+        kept = lambda a, b: F.array(*[
+            F.struct(F.lit(t).alias("_table"), v.alias("_block")) for t, v in enumerate(_parts(F.col(a), F.col(b), blocks))
+        ])
+        met = [F.bit_count(x) <= reach for x, reach in zip(_parts(*apart, blocks), _reaches(blocks, radius))]
+        first = F.coalesce(*[F.when(m, F.lit(t)) for t, m in enumerate(met)])
+    q = left.select("_hi", "_lo", F.explode(asked("_hi", "_lo")).alias("_t")).select("_hi", "_lo", "_t.*")
+    p = counted.select(F.col("_hi").alias("_hi2"), F.col("_lo").alias("_lo2"), "_copies", F.explode(kept("_hi", "_lo")).alias("_t"))
     p = p.select("_hi2", "_lo2", "_copies", "_t.*")
-    met = q.join(p, ["_table", "_block"]).where(distance(F.col("_hi"), F.col("_lo"), F.col("_hi2"), F.col("_lo2")) <= radius)
-    mine, theirs = keys("_hi", "_lo"), keys("_hi2", "_lo2")
-    first = F.array_position(F.zip_with(mine, theirs, lambda a, b: a["_block"] == b["_block"]), F.lit(True))
-    return met.where(first == F.col("_table") + 1).groupBy("_hi", "_lo").agg(F.sum("_copies").alias("n_within"))
+    bits = distance(F.col("_hi"), F.col("_lo"), F.col("_hi2"), F.col("_lo2"))
+    # The size of exploded flips is underrated: without the hint they are broadcast.
+    found = q.hint("merge").join(p, ["_table", "_block"]).where((bits <= radius) & (first == F.col("_table")))
+    return found.select("_hi", "_lo", "_hi2", "_lo2", bits.alias("distance"), "_copies")
+
+
+def within_radius(queries: DataFrame, prints: DataFrame, radius: int = 3, blocks: int = 4) -> DataFrame:
+    """(``_hi``, ``_lo``, ``n_within``): rows of ``prints`` within ``radius`` bits of each distinct query, by ``pairs_within``."""
+    return pairs_within(queries, prints, radius, blocks).groupBy("_hi", "_lo").agg(F.sum("_copies").alias("n_within"))
 
 
 def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -163,12 +204,12 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
 
 
-def document_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: int = 50, radius: int = 3) -> DataFrame:
+def document_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: int = 50, radius: int = 3, blocks: int = 4) -> DataFrame:
     """``edited_fingerprints`` and ``n_within``: for each id divisible by ``every``, the number of
     documents (itself included) whose fingerprint is within ``radius`` bits; null for other ids."""
     rows = cut_lineage(edited_fingerprints(df, id_col, text_col))
     asked = F.col(id_col) % every == 0
-    found = within_radius(rows.where(asked), rows, radius)
+    found = within_radius(rows.where(asked), rows, radius, blocks)
     found = found.select(F.lit(True).alias("_asked"), F.col("_hi").alias("_fh"), F.col("_lo").alias("_fl"), "n_within")
     match = F.coalesce(asked, F.lit(False)) & (F.col("_hi") == F.col("_fh")) & (F.col("_lo") == F.col("_fl"))
     return rows.join(found, match, "left").drop("_hi", "_lo", "_fh", "_fl", "_asked")

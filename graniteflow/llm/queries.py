@@ -24,7 +24,8 @@ def query(fn):
 
 @query
 def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return fingerprints.document_fingerprints(_table(spark, folder, "documents"))
+    documents = _table(spark, folder, "documents")
+    return fingerprints.document_fingerprints(documents, radius=fingerprints.NEAR_RADIUS, blocks=fingerprints.NEAR_BLOCKS)
 
 
 @query

@@ -72,6 +72,33 @@ def test_block_tables_find_all_within_the_radius(spark, radius, blocks):
     assert got == expected
 
 
+@pytest.mark.parametrize("radius, blocks", [(3, 4), (18, 8), (20, 8), (23, 8)])
+def test_partners_are_all_pairs_within_the_radius(spark, radius, blocks):
+    rng = np.random.default_rng(2)
+    wide = lambda x: int.from_bytes(x.tobytes(), "little")
+    base = [wide(rng.integers(0, 256, 16, np.uint8)) for _ in range(8)]
+    values = base + [x ^ sum(1 << int(b) for b in rng.choice(128, n, replace=False)) for x in base for n in (1, 3, 9, 17, 18, 19, 20, 21, 23, 24, 30)]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    halves = [(signed(x & (2**64 - 1)), signed(x >> 64)) for x in values]
+    df = spark.createDataFrame(halves + halves[:2], "_hi bigint, _lo bigint")
+    expected = {(p, q): ((x ^ y).bit_count(), 1 + (q in halves[:2])) for p, x in zip(halves, values) for q, y in zip(halves, values) if (x ^ y).bit_count() <= radius}
+    rows = fingerprints.pairs_within(df, df, radius, blocks).collect()
+    assert {((r._hi, r._lo), (r._hi2, r._lo2)): (r.distance, r._copies) for r in rows} == expected and len(rows) == len(expected)
+
+
+def test_edited_copies_count_as_near(spark):
+    from graniteflow.llm import queries
+
+    rng = np.random.default_rng(3)
+    words = [f"w{n}" for n in rng.integers(0, 5000, 400)]
+    near = words[:200] + ["changed", "here"] + words[202:]
+    other = [f"w{n}" for n in rng.integers(0, 5000, 400)]
+    df = spark.createDataFrame([(50, " ".join(words)), (51, " ".join(near)), (52, " ".join(other))], "doc_id bigint, text string")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(queries, "_table", lambda *a: df)
+        assert {r.doc_id: r.n_within for r in queries.op1_fingerprints(spark, "").collect()} == {50: 2, 51: None, 52: None}
+
+
 def test_each_row_stands_before_its_successor(spark):
     from pyspark.sql import functions as F
 
