@@ -56,14 +56,16 @@ def water_fill(sources: DataFrame, share: float, max_epochs: float, size: str =
 def mix(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple = WEIGHTS, share: float = 1.5, max_epochs: float = 2.0, seed: str = "mix-1", carry: list[str] | None = None,
+    whole_texts: bool = False,
 ) -> DataFrame:
     """One row per row of ``df``: id, size, source_size, target (of its source), whole, taken, and ``carry`` columns.
 
     ``taken`` is ``whole`` times the size plus the words of the fractional epoch. Sources
     are weighed in order of their code points, null last (a source of its own), repeating
     ``weights``. Null texts have size 0; repeated rows count as often as they occur; ties
-    of the seeded order only arise between rows with equal id and text. Names in
-    ``carry`` may not begin with ``_``.
+    of the seeded order only arise between rows with equal id and text. With ``whole_texts``
+    the last document of the fractional epoch is taken whole, so a source exceeds its target
+    by less than that document and stays within twice its size. Names in ``carry`` may not begin with ``_``.
     """
     carry = carry or []
     base = df.select(
@@ -87,7 +89,10 @@ def mix(
     inside = Window.partitionBy(*key, "_bucket").orderBy("_h", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
     rows = base.join(spots, [*key, "_bucket"])
     earlier = F.col("_before") + F.coalesce(F.sum("_size").over(inside), F.lit(0))
-    rows = rows.withColumn("_extra", F.greatest(F.lit(0), F.least(F.col("_size"), F.col("_part") - earlier)))
+    extra = F.greatest(F.lit(0), F.least(F.col("_size"), F.col("_part") - earlier))
+    if whole_texts:
+        extra = F.when(extra > 0, F.col("_size")).otherwise(0)
+    rows = rows.withColumn("_extra", extra)
     return rows.select(
         F.col("_id").alias(id_col), F.col("_size").alias("size"), F.col("_source_size").cast("bigint").alias("source_size"),
         F.col("_target").alias("target"), F.col("_whole").alias("whole"), (F.col("_whole") * F.col("_size") + F.col("_extra")).alias("taken"),
@@ -100,7 +105,7 @@ def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
     The last document of a source's fractional epoch is taken up to its share of words: that
     row has these words, joined by spaces, and their length in ``n_chars`` if there is such
-    a column. Documents without a word are not taken.
+    a column; with ``whole_texts`` no text is cut. Documents without a word are not taken.
     """
     source = df.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_words"), F.col(source_col).alias("_from"), F.struct("*").alias("_row"))
     chosen = mix(source, "_doc", "_words", "_from", carry=["_row"], **options)

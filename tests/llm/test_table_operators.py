@@ -77,6 +77,19 @@ def test_mixed_rows_hold_the_words_taken(odd_docs):
     assert words == +plan
 
 
+def test_pipeline_mixes_whole_texts(spark, odd_docs, odd_rows):
+    got = Counter((r.doc_id, r.text, r.source, r.n_chars) for r in corpus_pipeline.mixed(spark, odd_docs, SMALL).collect())
+    given = Counter((r[0], r[1], r[3], r[4]) for r in odd_rows)
+    assert got and all(k in given and n <= 2 * given[k] for k, n in got.items())
+    count = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    words, largest, goal = Counter(), Counter(), {}
+    for (_, text, source, _), n in got.items():
+        words[source] += n * count(text)
+    for r in mixing.mix(odd_docs, carry=["source"]).collect():
+        goal[r.source], largest[r.source] = r.target, max(largest[r.source], r["size"])
+    assert all(-1 <= words[s] - goal[s] <= largest[s] for s in goal)
+
+
 # ------------------------------------------------------------------ url filter
 URLS = [
     "http://net/", "http://net", "http://a.b.NET/x?y#z", "https://sub.example.net/en/1", "https://xexample.net/en/1", "http://example.com/de/", "http://m.example.com/de",
