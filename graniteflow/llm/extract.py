@@ -21,6 +21,8 @@ from graniteflow.llm.batches import add_columns
 
 #: Lines of a window; a surge or dive crosses this share of the largest window.
 WINDOW, LEVEL = 3, 0.2
+#: For the level, a line weighs at most so many times the median counting line.
+CLIP = 3
 
 # Fixed names of the HTML standard and usual names of page parts.
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -145,7 +147,8 @@ def main_text(page: str) -> str:
         # Every counting line of the article element stands above the level of 0 around it.
         level = 0.0
     else:
-        level = LEVEL * np.convolve(weights, np.ones(WINDOW, np.int64)).max()
+        clipped = np.minimum(weights, CLIP * np.median(weights[weights > 0]))
+        level = LEVEL * np.convolve(clipped, np.ones(WINDOW)).max()
     curve = np.convolve(weights, np.ones(WINDOW, np.int64))[WINDOW - 1 :]  # of the window that begins at each line
     high = np.flatnonzero(curve > level)
     surge, dive = int(high[0]), int(high[-1])
@@ -158,6 +161,12 @@ def main_text(page: str) -> str:
         dive = min(len(lines) - 1, dive + WINDOW - 1)
         while dive > surge and weights[dive] <= level / WINDOW:
             dive -= 1
+        # Short lines beside the text, such as its headline, belong to it; link lines end it.
+        near = lambda i: 0 <= i < len(lines) and weights[i] > 0 and 2 * lines[i][1] < len(lines[i][0])
+        while near(surge - 1):
+            surge -= 1
+        while near(dive + 1):
+            dive += 1
     kept = [t for (t, _, o, m) in lines[surge : dive + 1] if not o and (m or not has_main)]
     return "\n".join(kept)
 

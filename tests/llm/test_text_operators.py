@@ -295,6 +295,14 @@ def test_small_pages(page, text):
     assert extract.main_text(page) == text
 
 
+@pytest.mark.parametrize("sizes", [[300] * 10 + [30_000] + [300] * 10, [40, 150] + [1000] * 8 + [150, 30]])
+def test_long_and_short_paragraphs_are_kept(sizes):
+    lines = [("word " * n)[:n].strip() for n in sizes]
+    body = "".join(f"<p>{x}</p>" for x in lines)
+    page = f"<ul><li><a href='/'>Some menu entry</a></li></ul><div>{body}</div><ul><li><a href='/x'>Other entry</a></li></ul>"
+    assert extract.main_text(page) == "\n".join(lines)
+
+
 def test_every_page_has_a_row(spark):
     rows = [(1, "u", "<p>Hello there</p>"), (1, "u", "<p>Hello there</p>"), (None, None, None), (2, "v", "")]
     df = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, text string")
