@@ -23,6 +23,8 @@ from graniteflow.llm.batches import add_columns
 WINDOW, LEVEL = 3, 0.2
 #: For the level, a line weighs at most so many times the median counting line.
 CLIP = 3
+#: A marked part with more than this share of the page's text is no mere page part.
+MOST = 0.75
 
 # Fixed names of the HTML standard and usual names of page parts.
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -32,28 +34,42 @@ _RAW = frozenset("script style textarea title iframe noscript template".split())
 _OTHER = frozenset("nav footer aside form dialog menu".split())
 _MAIN = frozenset("article main".split())
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adbox|sponsor(?:ed)?|promo(?:tion)?|banners?|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|"
+    r"(?:ads?|adverts?|advertisements?|adbox|sponsor(?:ed)?|promo(?:tion)?|banners?|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|"
     r"nav|navbar|navigation|menus?|breadcrumbs?|header|masthead|footer|foot|sidebars?|side|widgets?|comments?|disqus|replies|respond|related|recommended|"
-    r"share|sharing|social|newsletter|subscribe|signup|login|search|tags|pagination|pager|toolbar|skip|legal|copyright|disclaimer|hidden)(?:$|[\s_-]|\d)", re.I,
+    r"share|sharing|social|newsletter|subscribe|signup|login|search|tags|pagination|pager|toolbar|skip|legal|copyright|disclaimer|hidden)\d*", re.I,
 )
+# With one of the names, these make a compound name such as ad-box or site-header.
+_AFFIXES = frozenset("box bar block list area link links unit slot site main global top bottom left right primary secondary buttons form panel".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
 
-def _no_article(tag: str, attributes: str, inside_main: bool) -> bool:
-    if tag in _OTHER or tag == "header" and not inside_main:
-        return True
+def _names_part(value: str, inside_main: bool) -> bool:
+    """Whether a class or id token is a name of a page part, alone or in a compound of names and affixes."""
+    for token in value.lower().split():
+        parts = [x for x in re.split(r"[_-]+", token) if x]
+        named = [x for x in parts if _NAMES.fullmatch(x)]
+        if named and all(x in named or x in _AFFIXES for x in parts) and not (inside_main and {"header", "masthead"} & set(named)):
+            return True
+    return False
+
+
+def _no_article(tag: str, attributes: str, inside_main: bool) -> str:
+    """``hidden`` or ``part`` for what opens a part that is no article, ``named`` if only a class or id says so, else empty."""
+    found = "part" if tag in _OTHER or tag == "header" and not inside_main else ""
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return found
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
-        if name in ("class", "id") and _NAMES.search(value) or name == "role" and value.lower() in _ROLES:
-            return True
-        if name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:$|[\s=])", attributes, re.I))
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
+            return "hidden"
+        if name == "role" and value.lower() in _ROLES:
+            found = "part"
+        elif name in ("class", "id") and not found and _names_part(value, inside_main):
+            found = "named"
+    return "hidden" if "hidden" in _ATTRIBUTE.sub(" ", attributes).lower().replace("/", " ").split() else found
 
 
 def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
@@ -62,7 +78,11 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
     parts: list[str] = []
     links = 0
     stack: list[tuple[str, bool, bool]] = []  # tag, opens a part that is no article, opens the article
-    out = main = link = 0
+    marks: list[str] = []  # kind of every such part
+    around: list[int] = []  # the open ones
+    inside: list[tuple[int, ...]] = []  # those around each line
+    holds: set[int] = set()  # those with an article element inside
+    main = link = 0
     at, skip_to = 0, 0
 
     def flush():
@@ -70,15 +90,17 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                lines.append((text, links, out > 0, main > 0))
+                lines.append((text, links, bool(around), main > 0))
+                inside.append(tuple(around))
             parts.clear()
         links = 0
 
     def close(depth: int):
-        nonlocal out, main, link
+        nonlocal main, link
         while len(stack) > depth:
             tag, was_out, was_main = stack.pop()
-            out -= was_out
+            if was_out:
+                around.pop()
             main -= was_main
             link -= tag == "a"
 
@@ -121,16 +143,29 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
                     break
         if tag in _VOID or token[3].endswith("/") and tag in ("br", "hr", "img"):
             continue
-        opens_out = _no_article(tag, token[3], main > 0)
+        kind = _no_article(tag, token[3], main > 0)
         opens_main = tag in _MAIN
-        stack.append((tag, opens_out, opens_main))
-        out += opens_out
+        if opens_main:
+            holds.update(around)
+        stack.append((tag, bool(kind), opens_main))
+        if kind:
+            around.append(len(marks))
+            marks.append(kind)
         main += opens_main
         link += tag == "a"
     if at < len(page):
         parts.append(page[at:])
     flush()
-    return lines
+    if any(m and not o for _, _, o, m in lines):
+        return lines
+    # No mark but a hidden one wins around the only article, nor a name around most of the text.
+    sizes = [0] * len(marks)
+    for (text, *_), open_marks in zip(lines, inside):
+        for k in open_marks:
+            sizes[k] += len(text)
+    most = MOST * sum(len(x[0]) for x in lines)
+    void = {k for k, kind in enumerate(marks) if kind != "hidden" and k in holds or kind == "named" and sizes[k] > most}
+    return [(t, n, not void.issuperset(ks), m) for (t, n, _, m), ks in zip(lines, inside)]
 
 
 def main_text(page: str) -> str:

@@ -303,6 +303,18 @@ def test_long_and_short_paragraphs_are_kept(sizes):
     assert extract.main_text(page) == "\n".join(lines)
 
 
+@pytest.mark.parametrize("page, text", [
+    *[(f"<div {x}><article><h1>Title</h1><p>Some text.</p></article></div>", "Title\nSome text.") for x in ("class='content with-sidebar'", "class='layout no-sidebar'", "id=page-header-fixed", "class='page widget'", "role=search")],
+    ("<article><div class='article-header'><h1>Title</h1></div><div class='header'>By me</div><p>Some text.</p></article>", "Title\nBy me\nSome text."),
+    ("<article><p title='a hidden gem'>One.</p><p hidden>Two.</p><p hidden=''>Three.</p><div class='comment-list'>No.</div></article>", "One."),
+    ("<div class='search'><h1>Title</h1><p>All of the text is within.</p></div>", "Title\nAll of the text is within."),
+    ("<article>Text.</article><aside><article>Other.</article></aside>", "Text."),
+    ("<div hidden><article>Unseen.</article></div>", ""),
+])
+def test_marks_are_whole_names_and_yield_to_the_article(page, text):
+    assert extract.main_text(page) == text
+
+
 def test_every_page_has_a_row(spark):
     rows = [(1, "u", "<p>Hello there</p>"), (1, "u", "<p>Hello there</p>"), (None, None, None), (2, "v", "")]
     df = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, text string")
