@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graniteflow.llm import chat, classifier, extract, fingerprints, mixing, ngram_join, packing, rules, token_counts, url_filter
+from graniteflow.llm import (
+    ann, chat, classifier, extract, fingerprints, merkle, mixing, ngram_join, packing, rules, token_counts, trie, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -82,3 +84,24 @@ SQL["op8_chat_formatting"] = chat.FORMAT_SQL
 @query
 def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, folder, "documents"))
+
+
+@query
+def op11_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(_table(spark, folder, "embeddings"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.tampered_check(_table(spark, folder, "documents"))
+
+
+SQL["op12_merkle_manifest"] = merkle.TAMPERED_SQL
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
+SQL["op13_conversation_trie"] = trie.TRIE_SQL
