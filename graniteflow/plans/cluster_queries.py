@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from graniteflow.functions import text as tx
 from graniteflow.functions.hashing import hash_int
-from graniteflow.operators import cluster, metrics, neighbours, reduce, vectorize
+from graniteflow.operators import cluster, metrics, neighbours, reduce
 from graniteflow.plans.catalog import query
 from graniteflow.plans.text_queries import WEIGHTS
-from graniteflow.plans.views import RUNS, cluster_runs, legal_tokens, sql_hash, with_sql
-from graniteflow.session import cut_lineage
+from graniteflow.plans.views import RUNS, cluster_runs, sql_hash, with_sql
+from graniteflow.session import cut_lineage, spread
 
 
 def weights(t):
-    """Stored TF-IDF table (doc_id, term, w) with min. document frequency 3."""
-    return cut_lineage(vectorize.tfidf(legal_tokens(t), t.documents, min_df=3).select("doc_id", "term", "w"))
+    """TF-IDF rows per document with min. document frequency 3."""
+    words = spread(t.documents.select("doc_id", "text")).select("doc_id", tx.tokens("text").alias("words"))
+    return reduce.DocumentRows.tfidf(words, "doc_id", "words", min_df=3, legal=tx.is_legal)
 
 
 def points(t):
@@ -26,16 +28,31 @@ def points(t):
 @query("lsi")
 def lsi(t):
     x = weights(t)
-    model = reduce.lsi(x, 5, rounds=4)
-    scores = model.transform(x)
+    scores = reduce.lsi(x, 5).transform(x)
     return scores.select("doc_id", F.posexplode("vec").alias("component", "score"))
 
 
 @query("lsi_explained_variance")
 def lsi_explained_variance(t):
     x = weights(t)
-    model = reduce.lsi(x, 5, rounds=4)
-    return reduce.explained_variance(model.transform(x), 5, reduce.total_variance(x, t.documents.count()))
+    model = reduce.lsi(x, 5)
+    return reduce.explained_variance(model.transform(x), 5, x.total_variance(t.documents.count()))
+
+
+@query("lsi_residuals", "SELECT CAST(j AS INTEGER) AS component, true AS unit, true AS settled FROM range(20) r(j)")
+def lsi_residuals(t):
+    """Per component, from the long table: whether its vector has length one and XᵀXv equals σ²v to one part in a million."""
+    x = weights(t)
+    model = reduce.lsi(x, 20, rounds=40)
+    entries = cut_lineage(x.entries())
+    image = reduce.times_docs(entries, reduce.times_terms(entries, model.components, 20), 20).withColumnRenamed("vec", "image")
+    cells = model.components.join(image, "term").select(F.posexplode(F.arrays_zip("vec", "image")).alias("component", "c"))
+    square = F.element_at(F.array(*[F.lit(float(s * s)) for s in model.sigma]), F.col("component") + 1)
+    gap = F.col("c.image") - square * F.col("c.vec")
+    sums = cells.select("component", square.alias("square"), gap.alias("gap"), F.col("c.vec").alias("v")).groupBy("component", "square").agg(
+        F.sum(F.col("v") * F.col("v")).alias("length"), F.sqrt(F.sum(F.col("gap") * F.col("gap"))).alias("gap")
+    )
+    return sums.select("component", (F.abs(F.col("length") - 1) < 1e-9).alias("unit"), (F.col("gap") < 1e-6 * F.col("square")).alias("settled"))
 
 
 @query("explained_variance", with_sql("""
@@ -75,7 +92,7 @@ SELECT round(sqrt(sum((coalesce(w, 0) - p)**2)), 4) AS error FROM dense LEFT JOI
 def frobenius_error(t):
     x = weights(t)
     model = reduce.nmf(x, 2, 1)
-    error = reduce.frobenius_error(x, model.w, model.h, 2)
+    error = reduce.frobenius_error(x.entries(), model.w, model.h, 2)
     return t.spark.createDataFrame([(error,)], "error double").select(F.round("error", 4).alias("error"))
 
 
