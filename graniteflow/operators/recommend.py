@@ -1,311 +1,287 @@
 """Recommenders on long rating tables (user, item, rating).
 
-User similarity needs every pair of users with a common item. Pairs are never
-joined row by row: users and items are hashed into blocks, each task receives
-one user block × user block × item block of ratings, multiplies small dense
-matrices and returns summed moments. A task's input is bounded by the block
-sizes, whichever user or item is popular.
+User similarity needs every pair of users with a common item. Pairs are never joined row
+by row and never leave a task: users are numbered into blocks, a home block is met by all
+guest blocks one after the other, and small dense matrices give the moments of all their
+pairs, slice by slice of the items. What a task keeps are the best raters of its own rows,
+so any number of neighbours and all folds come from one pass over the ratings.
 """
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from graniteflow.functions.hashing import hash_int
-from graniteflow.operators.ordering import top_per_group
+from graniteflow.operators.ordering import row_index, top_per_group
 from graniteflow.operators.stats import item_variance
+from graniteflow.session import cut_lineage, partitions_for, small_side
 
-USERS_PER_BLOCK = 1024
-ITEMS_PER_BLOCK = 4096
+#: Users of a block, items of a slice, and test rows of a home block that one task ranks.
+USERS_PER_BLOCK, ITEMS_PER_SLICE, TESTS_PER_PART = 256, 4096, 20_000
 TINY = 1e-9
 
 
-def block_counts(ratings: DataFrame) -> tuple[int, int]:
-    """Number of user and item blocks for a rating table (two numbers to the driver)."""
-    row = ratings.agg(
-        F.approx_count_distinct("user").alias("u"), F.approx_count_distinct("item").alias("i")
-    ).first()
-    return max(1, -(-row["u"] // USERS_PER_BLOCK)), max(1, -(-row["i"] // ITEMS_PER_BLOCK))
-
+# ------------------------------------------------------------ blocks of users
+def _meetings(rows: DataFrame, run, schema: str, tested: Column) -> DataFrame:
+    """``run(home, part, guests)`` for every block of users; each side is a dict of arrays.
 
-def _with_blocks(df: DataFrame, users: int, items: int) -> DataFrame:
-    return df.withColumns(
-        {"ub": (hash_int("user", seed=101) % users).cast("int"), "ib": (hash_int("item", seed=102) % items).cast("int")}
-    )
+    ``rows``: (user, item, rating, fold, train). A block with many rows to test is home to
+    several tasks, which deal its items; ``part`` is (number, parts). Guests come in the
+    order of the users.
+    """
+    numbered = cut_lineage(row_index(rows.select("user").distinct(), ["user"], name="no"))
+    users = numbered.count()
+    blocks = max(1, -(-users // USERS_PER_BLOCK))
+    placed = cut_lineage(rows.join(small_side(numbered, users, 48), "user").select(
+        F.floor(F.col("no") / USERS_PER_BLOCK).cast("int").alias("block"), "no", "user", "item", "rating", "fold", "train", tested.alias("tested")
+    ))
+    load = placed.groupBy("block").agg(F.greatest(F.lit(1), F.ceil(F.count_if("tested") / TESTS_PER_PART)).cast("int").alias("parts"))
+    homes = load.select(F.col("block").alias("home"), "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    homes = cut_lineage(homes)
+    columns = ["home", "part", "guest", "parts", "no", "user", "item", "rating", "fold", "train", "tested"]
+    own = homes.join(placed, homes["home"] == placed["block"]).withColumn("guest", F.lit(-1)).select(*columns)
+    met = homes.withColumn("guest", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    others = met.join(placed.where("train"), F.col("guest") == F.col("block")).select(*columns)
+    stream = own.unionByName(others).repartition(partitions_for(rows), "home", "part").sortWithinPartitions("home", "part", "guest", "no")
+    shape = to_arrow_schema(StructType.fromDDL(schema))
+
+    def each(batches):
+        home, guests, key = None, None, None
+        for now, side in _sides(batches):
+            if now[2] < 0:
+                if guests is not None:
+                    yield from guests.finish()
+                key, home = now[:2], side
+                guests = run(home, (now[1], int(side["parts"][0])), shape)
+            elif key == now[:2]:
+                guests.meet(side)
+        if guests is not None:
+            yield from guests.finish()
+
+    return stream.mapInArrow(each, schema)
+
+
+def _sides(batches):
+    """((home, part, guest), arrays) of rows sorted by these three columns."""
+    def arrays(parts):
+        table = pa.Table.from_batches(parts)
+        return {c: table[c].to_numpy() for c in table.column_names[3:]}
+
+    now, parts = None, []
+    for batch in batches:
+        keys = np.column_stack([batch.column(i).to_numpy() for i in range(3)])
+        cuts = [0, *(np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1), batch.num_rows]
+        for s, e in zip(cuts, cuts[1:], strict=False):
+            if e > s:
+                key = tuple(int(x) for x in keys[s])
+                if key != now and parts:
+                    yield now, arrays(parts)
+                    parts = []
+                now = key
+                parts.append(batch.slice(s, e - s))
+    if parts:
+        yield now, arrays(parts)
+
+
+class _Side:
+    """Training rows of one block as matrices over a slice of items; fold means by subtraction."""
+
+    def __init__(self, rows: dict):
+        self.no, first = np.unique(rows["no"], return_index=True)
+        self.user = rows["user"][first]
+        keep = rows["train"].astype(bool)
+        self.at = np.searchsorted(self.no, rows["no"])
+        self.u, self.item, self.rating, self.fold = self.at[keep], rows["item"][keep], rows["rating"][keep], rows["fold"][keep]
+
+    def means(self, fold: int) -> np.ndarray:
+        """Mean rating of each user over all folds but one; NaN without a rating."""
+        n, total = (np.bincount(self.u, weights=w, minlength=len(self.no)) for w in (None, self.rating))
+        own = self.fold == fold
+        n = n - np.bincount(self.u[own], minlength=len(self.no))
+        total = total - np.bincount(self.u[own], weights=self.rating[own], minlength=len(self.no))
+        return np.divide(total, n, out=np.full(len(n), np.nan), where=n > 0)
+
+    def matrices(self, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ratings, rated, fold) over sorted ``items``."""
+        spot = np.searchsorted(items, self.item)
+        here = (spot < len(items)) & (items[np.minimum(spot, len(items) - 1)] == self.item)
+        r, m, f = np.zeros((len(self.no), len(items))), np.zeros((len(self.no), len(items)), dtype=bool), np.zeros((len(self.no), len(items)), dtype=np.int32)
+        at = self.u[here], spot[here]
+        r[at], m[at], f[at] = self.rating[here], True, self.fold[here]
+        return r, m, f
+
+
+def _slices(items: np.ndarray, step: int):
+    for s in range(0, len(items), step):
+        yield items[s : s + step]
+
+
+def _similarities(home: _Side, guest: _Side, folds: list[int], step: int) -> tuple[np.ndarray, np.ndarray]:
+    """(common items, similarity) per fold, home and guest user, from the rows outside the fold.
+
+    Means run over the common items; a pair without spread there has similarity 0.
+    """
+    shape = (6, len(folds), len(home.no), len(guest.no))
+    sums = np.zeros(shape)
+    for items in _slices(np.intersect1d(home.item, guest.item), step):
+        r, m, f = home.matrices(items)
+        s, k, g = guest.matrices(items)
+        for i, fold in enumerate(folds):
+            a, b = (m & (f != fold)).astype(float), (k & (g != fold)).astype(float)
+            x, y = r * a, s * b
+            sums[:, i] += np.stack([a @ b.T, x @ b.T, a @ y.T, (x * x) @ b.T, a @ (y * y).T, x @ y.T])
+    n, sx, sy, sxx, syy, sxy = sums
+    vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+    live = (vx > TINY) & (vy > TINY)
+    sim = np.zeros(shape[1:])
+    sim[live] = (n * sxy - sx * sy)[live] / np.sqrt(vx[live] * vy[live])
+    return n, np.round(sim, 9)
 
 
-def _moments(pdf: pd.DataFrame, head: dict) -> pd.DataFrame:
-    """Pair moments of one block: six products of small dense matrices."""
-    items = pd.Index(pdf["item"].unique())
-    mats = {}
-    for side in ("L", "R"):
-        part = pdf[pdf["side"] == side]
-        names = pd.Index(np.sort(part["user"].unique()))
-        r = np.zeros((len(names), len(items)))
-        m = np.zeros_like(r)
-        at = names.get_indexer(part["user"]), items.get_indexer(part["item"])
-        r[at] = part["rating"].to_numpy()
-        m[at] = 1.0
-        mats[side] = names, r, m
-    if pdf["p"].iloc[0] == pdf["q"].iloc[0]:
-        mats["R"] = mats["L"]
-    (u, r, m), (v, s, k) = mats["L"], mats["R"]
-    n = m @ k.T
-    a, b = np.nonzero(n)
-    if mats["R"] is mats["L"]:
-        keep = u.to_numpy()[a] < v.to_numpy()[b]
-        a, b = a[keep], b[keep]
-    cells = {
-        "n": n, "sx": r @ k.T, "sy": m @ s.T, "sxx": (r * r) @ k.T, "syy": m @ (s * s).T, "sxy": r @ s.T,
-    }
-    out = {c: x[a, b] for c, x in cells.items()}
-    return pd.DataFrame({**head, "u": u.to_numpy()[a], "v": v.to_numpy()[b], **out})
+def _best(held: list[np.ndarray], new: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """The ``k`` largest of the first arrays' rows, held ones first among equals."""
+    both = [np.concatenate([a, b], axis=1) for a, b in zip(held, new, strict=True)]
+    order = np.argsort(-both[0], axis=1, kind="stable")[:, :k]
+    return [np.take_along_axis(a, order, axis=1) for a in both]
 
 
-def pearson_pairs(ratings: DataFrame, keys: list[str], blocks: tuple[int, int]) -> DataFrame:
-    """(keys, u, v, n, sim) of unordered user pairs with a common item.
+class _NearestUsers:
+    """The most similar users of each home user."""
 
-    Means run over the common items; a user without spread there has similarity 0.
-    """
-    users, items = blocks
-    rows = _with_blocks(ratings.select(*keys, "user", "item", "rating"), users, items)
-    other = rows.withColumn("ob", F.explode(F.sequence(F.lit(0), F.lit(users - 1))))
-    placed = other.select(
-        *keys, F.least("ub", "ob").alias("p"), F.greatest("ub", "ob").alias("q"), "ib",
-        F.when(F.col("ub") <= F.col("ob"), "L").otherwise("R").alias("side"), "user", "item", "rating",
-    )
-    kinds = {f.name: f.dataType.simpleString() for f in ratings.schema.fields}
-    key_ddl = "".join(f"{k} {kinds[k]}, " for k in keys)
-    user_kind = kinds["user"]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _moments(pdf, {k: pdf[k].iloc[0] for k in keys})
-
-    schema = f"{key_ddl}u {user_kind}, v {user_kind}, n double, sx double, sy double, sxx double, syy double, sxy double"
-    parts = placed.groupBy(*keys, "p", "q", "ib").applyInPandas(run, schema)
-    if items > 1:
-        sums = [F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]
-        low, high = F.least("u", "v"), F.greatest("u", "v")
-        swap = F.col("u") > F.col("v")
-        parts = parts.select(
-            *keys, low.alias("u"), high.alias("v"), "n", "sxy",
-            F.when(swap, F.col("sy")).otherwise(F.col("sx")).alias("sx"),
-            F.when(swap, F.col("sx")).otherwise(F.col("sy")).alias("sy"),
-            F.when(swap, F.col("syy")).otherwise(F.col("sxx")).alias("sxx"),
-            F.when(swap, F.col("sxx")).otherwise(F.col("syy")).alias("syy"),
-        ).groupBy(*keys, "u", "v").agg(*sums)
-    n = F.col("n")
-    vx, vy = n * F.col("sxx") - F.col("sx") ** 2, n * F.col("syy") - F.col("sy") ** 2
-    sim = (n * F.col("sxy") - F.col("sx") * F.col("sy")) / F.sqrt(vx * vy)
-    return parts.select(
-        *keys, "u", "v", n.cast("bigint").alias("n"),
-        F.when((vx <= TINY) | (vy <= TINY), 0.0).otherwise(F.round(sim, 9)).alias("sim"),
-    )
+    def __init__(self, home: dict, shape: pa.Schema, top: int, step: int):
+        self.home, self.shape, self.top, self.step = _Side(home), shape, top, step
+        n = len(self.home.no)
+        self.held = [np.full((n, 0), -np.inf), np.zeros((n, 0)), np.zeros((n, 0), dtype=self.home.user.dtype)]
 
+    def meet(self, rows: dict) -> None:
+        guest = _Side(rows)
+        n, sim = (x[0] for x in _similarities(self.home, guest, [-2], self.step))
+        sim = np.where((n > 0) & (self.home.no[:, None] != guest.no[None, :]), sim, -np.inf)
+        self.held = _best(self.held, [sim, n, np.broadcast_to(guest.user, sim.shape)], self.top)
 
-def _both_ways(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    ways = F.array(
-        F.struct(F.col("u").alias("user"), F.col("v").alias("peer")),
-        F.struct(F.col("v").alias("user"), F.col("u").alias("peer")),
-    )
-    return pairs.select(*keys, F.inline(ways), "n", "sim")
+    def finish(self):
+        sim, n, peer = self.held
+        u, rank = np.nonzero(sim > -np.inf)
+        columns = [self.home.user[u], peer[u, rank], n[u, rank].astype(np.int64), sim[u, rank], (rank + 1).astype(np.int32)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, self.shape, strict=True)], schema=self.shape)
 
 
 def pearson_similarity(ratings: DataFrame, top: int) -> DataFrame:
-    """The ``top`` most similar users of every user: (user, peer, n, sim, rank)."""
-    pairs = pearson_pairs(ratings, [], block_counts(ratings))
-    return top_per_group(_both_ways(pairs, []), ["user"], ["-sim", "peer"], top)
-
-
-def _similarity_grid(u_rows, v_rows, items, users, peers) -> np.ndarray:
-    """users × peers similarities of two sets of ratings, 0 without common spread."""
-    mats = []
-    for part, names in ((u_rows, users), (v_rows, peers)):
-        r = np.zeros((len(names), len(items)))
-        m = np.zeros_like(r)
-        at = names.get_indexer(part["user"]), items.get_indexer(part["item"])
-        r[at], m[at] = part["rating"].to_numpy(), 1.0
-        mats.append((r, m))
-    (r, m), (s, k) = mats
-    n, sx, sy = m @ k.T, r @ k.T, m @ s.T
-    vx, vy = n * ((r * r) @ k.T) - sx * sx, n * (m @ (s * s).T) - sy * sy
-    live = (vx > TINY) & (vy > TINY)
-    out = np.zeros_like(n)
-    out[live] = (n * (r @ s.T) - sx * sy)[live] / np.sqrt(vx[live] * vy[live])
-    return np.round(out, 9)
-
-
-def _pick_raters(tests: pd.DataFrame, raters: pd.DataFrame, grid: np.ndarray, users: pd.Index, peers: pd.Index, k: int) -> list[pd.DataFrame]:
-    """Up to ``k`` raters with positive similarity per test row; the last grid row and column are zero."""
-    found, by_item = [], {i: g for i, g in raters.groupby("item", sort=False)}
-    for item, group in tests.groupby("item", sort=False):
-        near = by_item.get(item)
-        if near is None:
-            continue
-        near = near.sort_values("user")
-        s = grid[np.ix_(users.get_indexer(group["user"]), peers.get_indexer(near["user"]))]
-        order = np.argsort(-s, axis=1, kind="stable")[:, :k]
-        best = np.take_along_axis(s, order, axis=1)
-        a, b = np.nonzero(best > 0)
-        pick = order[a, b]
-        found.append(pd.DataFrame({
-            "user": group["user"].to_numpy()[a], "item": item, "peer": near["user"].to_numpy()[pick],
-            "sim": best[a, b], "deviation": near["deviation"].to_numpy()[pick],
-        }))
-    return found
-
-
-def _padded(grid: np.ndarray) -> np.ndarray:
-    return np.pad(grid, ((0, 1), (0, 1)))
-
-
-def _fused_block(pdf: pd.DataFrame, keys: list[str], k: int) -> pd.DataFrame:
-    """Similarities and nearest raters of one user block × user block in one go.
-
-    Rows: L ratings of the test users, R ratings of the possible raters, T test rows.
-    """
-    columns = [*keys, "user", "item", "peer", "sim", "deviation"]
-    left, right, tests = (pdf[pdf["kind"] == x] for x in ("L", "R", "T"))
-    found = []
-    if len(left) and len(right) and len(tests):
-        users, peers = pd.Index(tests["user"].unique()), pd.Index(np.sort(right["user"].unique()))
-        left = left[left["user"].isin(users)]
-        items = pd.Index(np.union1d(left["item"].unique(), right["item"].unique()))
-        grid = _similarity_grid(left, right, items, users, peers)
-        grid[users.to_numpy()[:, None] == peers.to_numpy()[None, :]] = 0.0
-        found = _pick_raters(tests, right, _padded(grid), users, peers, k)
-    if not found:
-        like = {"peer": "user", "sim": "rating"}
-        return pd.DataFrame({c: pdf[like.get(c, c)].iloc[:0] for c in columns})
-    out = pd.concat(found, ignore_index=True)
-    for key in keys:
-        out[key] = pdf[key].iloc[0]
-    return out[columns]
-
-
-def _block_neighbours(pdf: pd.DataFrame, keys: list[str], k: int) -> pd.DataFrame:
-    """The ``k`` most similar raters of each test row within one block."""
-    sims, tests, raters = (pdf[pdf["kind"] == x] for x in ("S", "T", "R"))
-    columns = [*keys, "user", "item", "peer", "sim", "deviation"]
-    if sims.empty or tests.empty or raters.empty:
-        return pd.DataFrame({c: pdf[c].iloc[:0] for c in columns})
-    users, peers = pd.Index(sims["user"].unique()), pd.Index(np.sort(raters["peer"].unique()))
-    grid = np.zeros((len(users) + 1, len(peers) + 1))
-    grid[users.get_indexer(sims["user"]), peers.get_indexer(sims["peer"])] = sims["sim"].to_numpy()
-    grid[-1, :] = 0.0
-    grid[:, -1] = 0.0
-    raters = raters.drop(columns="user").rename(columns={"peer": "user"})
-    found = _pick_raters(tests, raters, grid, users, peers, k)
-    if not found:
-        return pd.DataFrame({c: pdf[c].iloc[:0] for c in columns})
-    out = pd.concat(found, ignore_index=True)
-    for key in keys:
-        out[key] = pdf[key].iloc[0]
-    return out[columns]
-
-
-def nearest_raters(train: DataFrame, test: DataFrame, k: int, keys: list[str] | None = None) -> DataFrame:
-    """(keys, user, item, peer, sim, deviation, rank): up to ``k`` raters with sim > 0 per test row.
-
-    Each block keeps its own best ``k``; the ranked merge sees at most ``k``
-    rows per test row and user block. While all items fit one block, a task
-    works out similarities and picks raters at once and no pair leaves it;
-    with more items the pair moments are summed over item blocks first.
+    """The ``top`` most similar users of every user: (user, peer, n, sim, rank), ties to the smaller peer."""
+    rows = ratings.select("user", "item", "rating", F.lit(-1).alias("fold"), F.lit(True).alias("train"))
+    kind = dict(ratings.dtypes)["user"]
+    schema, step = f"user {kind}, peer {kind}, n bigint, sim double, rank int", ITEMS_PER_SLICE
+    return _meetings(rows, lambda home, part, shape: _NearestUsers(home, shape, top, step), schema, F.lit(False))
+
+
+class _Raters:
+    """Running best raters of the test rows of a home block, and the predictions for all k."""
+
+    def __init__(self, home: dict, part: tuple[int, int], shape: pa.Schema, ks: list[int], step: int):
+        self.home, self.shape, self.ks, self.k, self.step = _Side(home), shape, ks, max(ks), step
+        mine = home["tested"].astype(bool)
+        if part[1] > 1:
+            mine &= _deal(home["item"], part[1]) == part[0]
+        self.u = self.home.at[mine]
+        self.item, self.rating, self.fold = (home[c][mine] for c in ("item", "rating", "fold"))
+        self.folds = sorted({int(f) for f in self.fold})
+        self.held = [np.zeros((len(self.u), 0)), np.zeros((len(self.u), 0))]
+
+    def meet(self, rows: dict) -> None:
+        if not len(self.u):
+            return
+        guest = _Side(rows)
+        _, sim = _similarities(self.home, guest, self.folds, self.step)
+        sim[:, self.home.no[:, None] == guest.no[None, :]] = 0.0
+        near, gap = np.zeros((len(self.u), len(guest.no))), np.zeros((len(self.u), len(guest.no)))
+        means = {f: guest.means(f) for f in self.folds}
+        for items in _slices(np.intersect1d(self.item, guest.item), self.step):
+            r, m, g = guest.matrices(items)
+            spot = np.minimum(np.searchsorted(items, self.item), len(items) - 1)
+            here = items[spot] == self.item
+            for i, fold in enumerate(self.folds):
+                at = np.flatnonzero(here & (self.fold == fold))
+                rated = m[:, spot[at]].T & (g[:, spot[at]].T != fold)
+                near[at] = np.where(rated, np.maximum(sim[i][self.u[at]], 0.0), 0.0)
+                gap[at] = np.where(rated, r[:, spot[at]].T - means[fold], 0.0)
+        self.held = _best(self.held, [near, gap], self.k)
+
+    def finish(self):
+        if not len(self.u):
+            return
+        sim, gap = self.held
+        n, lifts = (sim > 0).sum(axis=1), np.zeros((len(self.u), len(self.ks)))
+        if sim.shape[1]:
+            num, den = np.cumsum(sim * gap, axis=1), np.cumsum(sim, axis=1)
+            rows = np.flatnonzero(n)
+            for j, k in enumerate(self.ks):
+                last = np.minimum(k, n[rows]) - 1
+                lifts[rows, j] = num[rows, last] / den[rows, last]
+        means = {f: self.home.means(f) for f in self.folds}
+        mean = np.array([means[int(f)][u] for f, u in zip(self.fold, self.u, strict=True)])
+        columns = [self.home.user[self.u], self.item, self.rating, self.fold, mean]
+        flat = pa.ListArray.from_arrays(pa.array(np.arange(len(self.u) + 1) * len(self.ks), pa.int32()), pa.array(lifts.ravel()))
+        arrays = [pa.array(c, f.type, from_pandas=True) for c, f in zip(columns, self.shape, strict=False)]
+        yield pa.RecordBatch.from_arrays([*arrays, flat], schema=self.shape)
+
+
+def _deal(items: np.ndarray, parts: int) -> np.ndarray:
+    """Part of each item, the same wherever it is."""
+    return np.array([crc32(str(i).encode()) % parts for i in items.tolist()], dtype=np.int64)
+
+
+def knn_folds(rows: DataFrame, ks: list[int], low: float = 0.5, high: float = 5.0) -> DataFrame:
+    """Prediction ``est`` of every tested row for every k: (user, item, rating, fold, k, est, impossible).
+
+    ``rows``: (user, item, rating, fold, train). A row with a fold of 0 or more is predicted
+    from the training rows of all other folds; rows of fold −1 are only trained on, rows
+    without ``train`` only tested. est = user mean + Σ sim·deviation / Σ sim over the k
+    nearest raters with sim > 0; the user mean without such raters; the global mean for an
+    unknown user or item. Means and counts of a fold's training rows are those of all rows
+    less the fold's. A user rates an item once at most.
     """
-    keys = list(keys or [])
-    users, items = block_counts(train)
-    if items == 1:
-        return _nearest_in_one_item_block(train, test, k, keys, users)
-    pairs = pearson_pairs(train, keys, (users, items)).where("sim > 0")
-    means = train.groupBy(*keys, "user").agg(F.avg("rating").alias("mean"))
-    rated = train.join(means, [*keys, "user"]).withColumn("deviation", F.col("rating") - F.col("mean"))
-    each = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
-    block = lambda c: (hash_int(c, seed=101) % users).cast("int")
-    slot = (hash_int("item", seed=102) % items).cast("int").alias("ib")
-    null = lambda kind, name: F.lit(None).cast(kind).alias(name)
-    kinds = {f.name: f.dataType.simpleString() for f in train.schema.fields}
-    uk, ik = kinds["user"], kinds["item"]
-    head = [*keys, "p", "q", "ib", "kind", "user", "peer", "item", "sim", "deviation"]
-    sims = _both_ways(pairs, keys).select(
-        "*", block("user").alias("p"), block("peer").alias("q"), each(items, "ib"), F.lit("S").alias("kind"),
-        null(ik, "item"), null("double", "deviation"),
-    ).select(*head)
-    tests = test.select(
-        *keys, "user", "item", block("user").alias("p"), each(users, "q"), slot, F.lit("T").alias("kind"),
-        null(uk, "peer"), null("double", "sim"), null("double", "deviation"),
-    ).select(*head)
-    raters = rated.select(
-        *keys, F.col("user").alias("peer"), "item", "deviation", each(users, "p"), block("user").alias("q"), slot,
-        F.lit("R").alias("kind"), null(uk, "user"), null("double", "sim"),
-    ).select(*head)
-    key_ddl = "".join(f"{c} {kinds[c]}, " for c in keys)
-    schema = f"{key_ddl}user {uk}, item {ik}, peer {uk}, sim double, deviation double"
-    local = sims.unionByName(tests).unionByName(raters).groupBy(*keys, "p", "q", "ib").applyInPandas(
-        lambda pdf: _block_neighbours(pdf, keys, k), schema
+    kinds = dict(rows.dtypes)
+    schema = f"user {kinds['user']}, item {kinds['item']}, rating double, fold int, mean double, lifts array<double>"
+    rows = cut_lineage(rows.select("user", "item", F.col("rating").cast("double").alias("rating"), F.col("fold").cast("int").alias("fold"), "train"))
+    step = ITEMS_PER_SLICE
+    found = _meetings(rows, lambda home, part, shape: _Raters(home, part, shape, list(ks), step), schema, F.col("fold") >= 0)
+    trained = cut_lineage(rows.where("train").groupBy("item", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s")))
+    cells = trained.count()
+    per_fold = {r["fold"]: (r["n"], r["s"]) for r in trained.groupBy("fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).collect()}
+    n, s = (sum(v[i] for v in per_fold.values()) for i in (0, 1))
+    left = {f: (n - per_fold.get(f, (0, 0.0))[0], s - per_fold.get(f, (0, 0.0))[1]) for f in [r[0] for r in rows.where("fold >= 0").select("fold").distinct().collect()]}
+    overall = F.lit(None).cast("double")
+    for fold, (many, total) in left.items():
+        overall = F.when(F.col("fold") == fold, F.lit(total / many if many else None)).otherwise(overall)
+    total = small_side(trained.groupBy("item").agg(F.sum("n").alias("_all")), cells, 48)
+    own = small_side(trained.select("item", "fold", F.col("n").alias("_own")), cells, 48)
+    known = found.join(total, "item", "left").join(own, ["item", "fold"], "left")
+    unknown = F.col("mean").isNull() | (F.coalesce("_all", F.lit(0)) - F.coalesce("_own", F.lit(0)) <= 0)
+    each = known.select("user", "item", "rating", "fold", "mean", unknown.alias("impossible"), F.posexplode("lifts").alias("_j", "lift"))
+    est = F.when(F.col("impossible"), overall).otherwise(F.col("mean") + F.col("lift"))
+    return each.select(
+        "user", "item", "rating", "fold", F.element_at(F.array(*[F.lit(k) for k in ks]), F.col("_j") + 1).alias("k"),
+        F.greatest(F.lit(low), F.least(F.lit(high), est)).alias("est"), "impossible",
     )
-    return top_per_group(local, [*keys, "user", "item"], ["-sim", "peer"], k)
-
-
-def _nearest_in_one_item_block(train: DataFrame, test: DataFrame, k: int, keys: list[str], users: int) -> DataFrame:
-    means = train.groupBy(*keys, "user").agg(F.avg("rating").alias("mean"))
-    rated = train.join(means, [*keys, "user"]).withColumn("deviation", F.col("rating") - F.col("mean"))
-    block = (hash_int("user", seed=101) % users).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.lit(users - 1)))
-    head = [*keys, "p", "q", "kind", "user", "item", "rating", "deviation"]
-    side = lambda d, own, far, kind: d.withColumns({own: block, far: other, "kind": F.lit(kind)}).select(*head)
-    blank = F.lit(None).cast("double")
-    tests = test.select(*keys, "user", "item").withColumns({"rating": blank, "deviation": blank})
-    rows = side(rated, "p", "q", "L").unionByName(side(rated, "q", "p", "R")).unionByName(side(tests, "p", "q", "T"))
-    kinds = dict(train.dtypes)
-    key_ddl = "".join(f"{c} {kinds[c]}, " for c in keys)
-    schema = f"{key_ddl}user {kinds['user']}, item {kinds['item']}, peer {kinds['user']}, sim double, deviation double"
-    local = rows.groupBy(*keys, "p", "q").applyInPandas(lambda pdf: _fused_block(pdf, keys, k), schema)
-    return top_per_group(local, [*keys, "user", "item"], ["-sim", "peer"], k)
-
-
-def knn_sweep(
-    train: DataFrame, test: DataFrame, ks: list[int], keys: list[str] | None = None, low: float = 0.5, high: float = 5.0,
-) -> DataFrame:
-    """Prediction ``est`` of every test row for every k, neighbours ranked once.
 
-    est = user mean + Σ sim·deviation / Σ sim over the k nearest raters; the user
-    mean without such raters; the global mean for an unknown user or item.
-    """
-    keys = list(keys or [])
-    near = nearest_raters(train, test, max(ks), keys)
-    upto = Window.partitionBy(*keys, "user", "item").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    sums = near.withColumns({
-        "num": F.sum(F.col("sim") * F.col("deviation")).over(upto), "den": F.sum("sim").over(upto),
-    }).groupBy(*keys, "user", "item").agg(
-        F.sort_array(F.collect_list(F.struct("rank", "num", "den"))).alias("steps")
-    )
-    means = train.groupBy(*keys, "user").agg(F.avg("rating").alias("user_mean"))
-    known = train.select(*keys, "item").distinct().withColumn("known_item", F.lit(True))
-    if keys:
-        overall = train.groupBy(*keys).agg(F.avg("rating").alias("global_mean"))
-        rows = test.join(overall, keys, "left")
-    else:
-        rows = test.withColumn("global_mean", train.agg(F.avg("rating")).scalar())
-    rows = (
-        rows.join(means, [*keys, "user"], "left").join(known, [*keys, "item"], "left")
-        .join(sums, [*keys, "user", "item"], "left")
-        .withColumn("k", F.explode(F.array(*[F.lit(k) for k in ks])))
-    )
-    step = F.try_element_at("steps", F.least(F.col("k"), F.size("steps")))
-    lift = F.when(F.size("steps") > 0, step["num"] / step["den"]).otherwise(0.0)
-    unknown = F.col("user_mean").isNull() | F.col("known_item").isNull()
-    est = F.when(unknown, F.col("global_mean")).otherwise(F.col("user_mean") + F.coalesce(lift, F.lit(0.0)))
-    return rows.select(
-        *test.columns, "k", F.greatest(F.lit(low), F.least(F.lit(high), est)).alias("est"), unknown.alias("impossible")
-    )
 
+def knn_sweep(train: DataFrame, test: DataFrame, ks: list[int], low: float = 0.5, high: float = 5.0) -> DataFrame:
+    """``knn_folds`` of test rows against separate training rows: (user, item, rating, k, est, impossible)."""
+    columns = ["user", "item", "rating"]
+    rows = train.select(*columns, F.lit(-1).alias("fold"), F.lit(True).alias("train"))
+    rows = rows.unionByName(test.select(*columns, F.lit(0).alias("fold"), F.lit(False).alias("train")))
+    return knn_folds(rows, ks, low, high).drop("fold")
 
-def knn_predict(train: DataFrame, test: DataFrame, k: int, keys: list[str] | None = None) -> DataFrame:
-    return knn_sweep(train, test, [k], keys)
+
+def knn_predict(train: DataFrame, test: DataFrame, k: int) -> DataFrame:
+    return knn_sweep(train, test, [k])
 
 
 def user_mean_filter(ratings: DataFrame, test_flag: Column, train_only: bool = True) -> DataFrame:
@@ -316,12 +292,6 @@ def user_mean_filter(ratings: DataFrame, test_flag: Column, train_only: bool = T
     return ratings.where(test_flag).join(means, "user", "left").withColumn("est", F.coalesce("est", fallback))
 
 
-def fold_train(folded: DataFrame, folds: int) -> DataFrame:
-    """Training rows of every fold: each row once per fold it is not tested in."""
-    every = folded.withColumnRenamed("fold", "_own").withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
-    return every.where(F.col("fold") != F.col("_own")).drop("_own")
-
-
 def subset_items(
     ratings: DataFrame, popular_above: int = 2, variance_count: int = 5, variance_from: float = 2.0,
 ) -> DataFrame:

@@ -39,13 +39,13 @@ def lsi_explained_variance(t):
     return reduce.explained_variance(model.transform(x), 5, x.total_variance(t.documents.count()))
 
 
-@query("lsi_residuals", "SELECT CAST(j AS INTEGER) AS component, true AS unit, true AS settled FROM range(20) r(j)")
+@query("lsi_residuals", "SELECT CAST(j AS INTEGER) AS component, true AS unit, true AS settled FROM range(5) r(j)")
 def lsi_residuals(t):
     """Per component, from the long table: whether its vector has length one and XᵀXv equals σ²v to one part in a million."""
     x = weights(t)
-    model = reduce.lsi(x, 20, rounds=40)
+    model = reduce.lsi(x, 5, rounds=20)
     entries = cut_lineage(x.entries())
-    image = reduce.times_docs(entries, reduce.times_terms(entries, model.components, 20), 20).withColumnRenamed("vec", "image")
+    image = reduce.times_docs(entries, reduce.times_terms(entries, model.components, 5), 5).withColumnRenamed("vec", "image")
     cells = model.components.join(image, "term").select(F.posexplode(F.arrays_zip("vec", "image")).alias("component", "c"))
     square = F.element_at(F.array(*[F.lit(float(s * s)) for s in model.sigma]), F.col("component") + 1)
     gap = F.col("c.image") - square * F.col("c.vec")

@@ -90,12 +90,11 @@ def knn_predict(t):
     return recommend.knn_predict(train, test, 20).select("user", "item", F.col("rating"), "k", F.round("est", 6).alias("est"))
 
 
-SWEEP = [2, 10, 20, 40]
+SWEEP = list(range(2, 101, 2))
 
 
 def knn_fold_predictions(rows, ks):
-    rows = folded(rows)
-    return recommend.knn_sweep(recommend.fold_train(rows, 10), rows, ks, ["fold"])
+    return recommend.knn_folds(folded(rows).withColumn("train", F.lit(True)), ks)
 
 
 SQL_SWEEP = with_sql(RATINGS, FOLDED, ALL_FOLDS, SIMS_FOLD, _ks(SWEEP), KNN_FOLD, "{body}")

@@ -31,16 +31,17 @@ def similarity(train, u, v):
     return 0.0 if a <= 1e-9 or b <= 1e-9 else round((n * (x * y).sum() - x.sum() * y.sum()) / np.sqrt(a * b), 9)
 
 
-@pytest.fixture(params=[(512, 4096), (5, 4096), (5, 4)], ids=["one-block", "user-blocks", "user-and-item-blocks"])
+@pytest.fixture(params=[(512, 4096, 20_000), (5, 4096, 20_000), (5, 4, 6)], ids=["one-block", "user-blocks", "slices-and-parts"])
 def blocks(request, monkeypatch):
-    monkeypatch.setattr(recommend, "USERS_PER_BLOCK", request.param[0])
-    monkeypatch.setattr(recommend, "ITEMS_PER_BLOCK", request.param[1])
+    for name, value in zip(("USERS_PER_BLOCK", "ITEMS_PER_SLICE", "TESTS_PER_PART"), request.param):
+        monkeypatch.setattr(recommend, name, value)
 
 
-def test_pearson_pairs(spark, data, blocks):
-    ratings = frame(spark, data)
-    got = {(r["u"], r["v"]): (r["n"], r["sim"]) for r in recommend.pearson_pairs(ratings, [], recommend.block_counts(ratings)).collect()}
-    got = {tuple(sorted(k)): v for k, v in got.items()}
+def test_all_similarities(spark, data, blocks):
+    rows = recommend.pearson_similarity(frame(spark, data), 100).collect()
+    got = {(r["user"], r["peer"]): (r["n"], r["sim"]) for r in rows}
+    assert got == {(v, u): x for (u, v), x in got.items()}
+    got = {k: v for k, v in got.items() if k[0] < k[1]}
     want = {}
     for u in range(23):
         for v in range(u + 1, 23):
@@ -79,10 +80,15 @@ def test_similar_users_are_ranked(spark, data):
         assert r["sim"] == pytest.approx(similarity(data, r["user"], r["peer"]), abs=2e-9)
 
 
-def test_fold_train_has_every_row_in_all_other_folds(spark, data):
-    rows = frame(spark, data).withColumn("fold", (F.col("item") % 3).cast("int"))
-    out = recommend.fold_train(rows, 3)
-    assert out.count() == 2 * len(data) and out.where(F.col("fold") == F.col("item") % 3).count() == 0
+def test_folds_at_once_equal_one_by_one(spark, data, blocks):
+    rows = frame(spark, data).withColumn("fold", ((F.col("item") + F.col("user")) % 3).cast("int")).withColumn("train", F.lit(True))
+    got = {(r["user"], r["item"], r["k"]): (r["est"], r["impossible"]) for r in recommend.knn_folds(rows, [1, 4, 40]).collect()}
+    want = {}
+    for fold in range(3):
+        part = recommend.knn_sweep(rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold), [1, 4, 40])
+        want |= {(r["user"], r["item"], r["k"]): (r["est"], r["impossible"]) for r in part.collect()}
+    assert got.keys() == want.keys() and len(got) == 3 * len(data)
+    assert all(got[k][0] == pytest.approx(want[k][0], abs=1e-7) and got[k][1] == want[k][1] for k in got)
 
 
 def test_subsets_and_user_filter(spark):
