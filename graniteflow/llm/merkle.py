@@ -2,7 +2,7 @@
 
 Every row is a leaf; a node is the SHA-256 (as hex text) of up to three consecutive nodes
 below it. Proofs come from an octopus multiproof: the leaves of a tree lie in aligned
-blocks of 3^7 (the leaf partitions). A block lists the coordinates of the nodes that its
+blocks of 3^7 leaves (the leaf partitions). A block lists the coordinates of the nodes that its
 leaves need and that it cannot compute itself, once for all its leaves, fetches them with
 one join on the table of upper nodes, computes the nodes its leaves share, and writes the
 proof of every leaf without further data. A tree of any size is spread over its blocks;
@@ -23,7 +23,6 @@ from graniteflow.session import cut_lineage
 
 #: Nodes hashed into one, and levels of a block.
 WIDTH, LEVELS = 3, 7
-BLOCK = WIDTH**LEVELS
 #: Name of the tree over the group roots; those of groups start with 0 (null) or 1.
 TOP = ""
 
@@ -80,24 +79,24 @@ def leaf_digest(*columns: Column) -> Column:
     return F.sha2(F.concat(*[F.coalesce(F.concat(F.octet_length(t), F.lit(":"), t), F.lit("-")) for t in text]), 256)
 
 
-def _blocks(leaves: DataFrame) -> DataFrame:
-    """(tree, total, block, items): the leaves of each block in order; at most 3^7 of them in a row."""
+def _blocks(leaves: DataFrame, levels: int) -> DataFrame:
+    """(tree, total, block, items): the leaves of each block in order; at most 3^levels of them in a row."""
     item = F.struct("pos", *[c for c in leaves.columns if c not in ("tree", "total", "pos")])
-    return leaves.groupBy("tree", "total", F.floor(F.col("pos") / BLOCK).cast("bigint").alias("block")).agg(
+    return leaves.groupBy("tree", "total", F.floor(F.col("pos") / WIDTH**levels).cast("bigint").alias("block")).agg(
         F.sort_array(F.collect_list(item)).alias("items")
     )
 
 
-def _nodes(blocks: DataFrame, level: int, all_levels: bool) -> DataFrame:
+def _nodes(blocks: DataFrame, level: int, all_levels: bool, levels: int) -> DataFrame:
     """(tree, total, level, pos, digest) of the nodes above the blocks' ``digest``, or of their tops only."""
     def run(batches):
         for batch in batches:
             rows = []
             for tree, total, block, digests in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                found = climb(digests, min(LEVELS, height(total) - level))
+                found = climb(digests, min(levels, height(total) - level))
                 for up, nodes in enumerate(found):
                     if up and (all_levels or up == len(found) - 1) or len(found) == 1:
-                        rows += [(tree, total, level + up, block * WIDTH ** (LEVELS - up) + i, d) for i, d in enumerate(nodes)]
+                        rows += [(tree, total, level + up, block * WIDTH ** (levels - up) + i, d) for i, d in enumerate(nodes)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["tree", "total", "level", "pos", "digest"])
 
@@ -105,14 +104,14 @@ def _nodes(blocks: DataFrame, level: int, all_levels: bool) -> DataFrame:
     return blocks.select("tree", "total", "block", digests.alias("digests")).mapInArrow(run, "tree string, total bigint, level bigint, pos bigint, digest string")
 
 
-def upper_nodes(blocks: DataFrame, most: int) -> DataFrame:
+def upper_nodes(blocks: DataFrame, most: int, levels: int) -> DataFrame:
     """All nodes from the block tops (or the roots of lower trees) to the roots; ``most``: leaves of the largest tree."""
-    level = LEVELS
-    nodes = found = cut_lineage(_nodes(blocks, 0, False))
+    level = levels
+    nodes = found = cut_lineage(_nodes(blocks, 0, False, levels))
     while level < height(most):
         below = found.where((F.col("level") == level) & (F.col("total") > WIDTH**level))
-        level += LEVELS
-        found = cut_lineage(_nodes(_blocks(below.drop("level")), level - LEVELS, True))
+        level += levels
+        found = cut_lineage(_nodes(_blocks(below.drop("level"), levels), level - levels, True, levels))
         nodes = nodes.unionByName(found)
     return nodes
 
@@ -132,23 +131,27 @@ def _most(leaves: DataFrame) -> int:
 class Manifest:
     """Blocks of leaves, upper nodes of all trees and the places of the group roots in the top tree."""
 
-    def __init__(self, leaves: DataFrame, group: Column, order: list[str], carry: list[str]):
-        """``leaves`` has a column ``digest``; ``order`` sorts a group's leaves (nulls first), ``carry`` is kept for proofs."""
+    def __init__(self, leaves: DataFrame, group: Column, order: list[str], carry: list[str], levels: int = LEVELS):
+        """``leaves`` has a column ``digest``; ``order`` sorts a group's leaves (nulls first), ``carry`` is kept for proofs.
+
+        A block has ``levels`` levels.
+        """
+        self.levels = levels
         named = leaves.select(F.coalesce(F.concat(F.lit("1"), group.cast("string")), F.lit("0")).alias("tree"), *dict.fromkeys([*order, "digest", *carry]))
         placed = row_index(named, [*order, "digest"], ["tree"], "pos", totals=True).withColumnRenamed("pos_total", "total")
-        self.blocks = cut_lineage(_blocks(placed.select("tree", "total", "pos", "digest", *[c for c in carry if c != "digest"])))
+        self.blocks = cut_lineage(_blocks(placed.select("tree", "total", "pos", "digest", *[c for c in carry if c != "digest"]), levels))
         most = _most(self.blocks)
-        nodes = upper_nodes(self.blocks, most)
+        nodes = upper_nodes(self.blocks, most, levels)
         self.group_roots = _roots(nodes, most)
         tops = self.group_roots.select(F.lit(TOP).alias("tree"), F.col("tree").alias("of"), "digest")
         self.top_leaves = cut_lineage(row_index(tops, ["of"], ["tree"], "pos", totals=True).withColumnRenamed("pos_total", "total"))
-        most, tops = _most(self.top_leaves), _blocks(self.top_leaves.drop("of"))
-        above = upper_nodes(tops, most)
+        most, tops = _most(self.top_leaves), _blocks(self.top_leaves.drop("of"), levels)
+        above = upper_nodes(tops, most, levels)
         self.root = _roots(above, most).select("digest")
         # the top tree's levels below its blocks' tops serve the proofs, too
-        inner = _nodes(tops, 0, True).where((F.col("level") > 0) & (F.col("level") < LEVELS))
+        inner = _nodes(tops, 0, True, levels).where((F.col("level") > 0) & (F.col("level") < levels))
         leaf_level = self.top_leaves.select("tree", "total", F.lit(0).cast("bigint").alias("level"), "pos", "digest")
-        top = leaf_level.unionByName(inner).unionByName(above.where(F.col("level") >= LEVELS))
+        top = leaf_level.unionByName(inner).unionByName(above.where(F.col("level") >= levels))
         self.nodes = nodes.unionByName(top).select("tree", "level", "pos", "digest")
 
     def proofs(self) -> DataFrame:
@@ -159,7 +162,7 @@ class Manifest:
         """
         seat = self.top_leaves.select(F.col("of").alias("tree"), F.col("pos").alias("seat"), F.col("total").alias("seats"), F.col("digest").alias("subroot"))
         partitions = self.blocks.join(seat, "tree")
-        wanted = partitions.select("tree", "block", "total", "seat", "seats").mapInArrow(_wanted, "tree string, block bigint, in_tree string, level bigint, pos bigint")
+        wanted = partitions.select("tree", "block", "total", "seat", "seats").mapInArrow(_wanted(self.levels), "tree string, block bigint, in_tree string, level bigint, pos bigint")
         fetched = wanted.join(self.nodes.withColumnRenamed("tree", "in_tree"), ["in_tree", "level", "pos"])
         fetched = fetched.groupBy("tree", "block").agg(F.collect_list(F.struct((F.col("in_tree") == TOP).alias("top"), "level", "pos", "digest")).alias("known"))
         ready = partitions.join(fetched, ["tree", "block"], "left")
@@ -167,21 +170,24 @@ class Manifest:
         kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)
         schema = f"{kept}{', ' if kept else ''}pos bigint, digest string, subroot string, root string, proof array<struct<left:string,right:string>>"
         names = [f.name for f in carried]
-        return ready.select("total", "block", "items", "seat", "seats", "subroot", "known").mapInArrow(_expand(names), schema)
+        return ready.select("total", "block", "items", "seat", "seats", "subroot", "known").mapInArrow(_expand(names, self.levels), schema)
 
 
-def _wanted(batches):
-    """Rows of node coordinates that each leaf partition lacks: in its own tree above its top, and in the top tree."""
-    for batch in batches:
-        rows = []
-        for tree, block, total, seat, seats in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-            rows += [(tree, block, tree, level, pos) for level, pos in missing(LEVELS, block, total)]
-            rows += [(tree, block, TOP, level, pos) for level, pos in missing(0, seat, seats)]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["tree", "block", "in_tree", "level", "pos"])
+def _wanted(levels: int):
+    """Function to rows of node coordinates that each leaf partition lacks: in its own tree above its top, and in the top tree."""
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for tree, block, total, seat, seats in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                rows += [(tree, block, tree, level, pos) for level, pos in missing(levels, block, total)]
+                rows += [(tree, block, TOP, level, pos) for level, pos in missing(0, seat, seats)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["tree", "block", "in_tree", "level", "pos"])
+
+    return run
 
 
-def _expand(names: list[str]):
+def _expand(names: list[str], levels: int):
     """Function over batches of ready leaf partitions that writes the proof of each leaf."""
     def run(batches):
         for whole in batches:
@@ -190,12 +196,12 @@ def _expand(names: list[str]):
                 total, block, seat, seats, subroot = (batch.column(i)[0].as_py() for i in (0, 1, 3, 4, 5))
                 items, known = batch.column(2).flatten(), batch.column(6)[0].as_py() or []
                 digests = items.field(items.type.get_field_index("digest")).to_pylist()
-                own = climb(digests, min(LEVELS, height(total)))
-                base = block * BLOCK
+                own = climb(digests, min(levels, height(total)))
+                base = block * WIDTH**levels
                 inside = {(up, base // WIDTH**up + i): d for up, nodes in enumerate(own) for i, d in enumerate(nodes)}
                 top = {(x["level"], x["pos"]): x["digest"] for x in known if x["top"]}
                 outside = {(x["level"], x["pos"]): x["digest"] for x in known if not x["top"]}
-                rest = way(len(own) - 1, block if height(total) > LEVELS else 0, total, outside) + way(0, seat, seats, top)
+                rest = way(len(own) - 1, block if height(total) > levels else 0, total, outside) + way(0, seat, seats, top)
                 root = subroot
                 for left, right in way(0, seat, seats, top):
                     root = _hash(left, root, right)
@@ -231,7 +237,7 @@ def fold(leaf: Column, proof: Column) -> Column:
     return F.aggregate(proof, leaf, lambda node, s: F.sha2(F.concat(s["left"], node, s["right"]), 256))
 
 
-def tampered_check(docs: DataFrame) -> DataFrame:
+def tampered_check(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
     """Proofs of all documents and their verdict on a tampered copy.
 
     One row per document: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified.
@@ -247,7 +253,7 @@ def tampered_check(docs: DataFrame) -> DataFrame:
     changed = leaf_digest(*parts[:4], F.replace(F.col("text"), F.lit("\n"), F.lit("")))
     hit = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0) & F.contains(F.col("text"), F.lit("\n"))
     leaves = docs.select("doc_id", F.col("source").alias("group"), leaf_digest(*parts).alias("digest"), F.when(hit, changed).alias("copy"))
-    proofs = Manifest(leaves, F.col("group"), ["doc_id"], ["doc_id", "copy"]).proofs()
+    proofs = Manifest(leaves, F.col("group"), ["doc_id"], ["doc_id", "copy"], levels).proofs()
     folded = fold(F.coalesce("copy", "digest"), F.col("proof"))
     out = proofs.select(
         "doc_id", F.col("digest").alias("leaf"), "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root"),

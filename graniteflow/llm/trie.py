@@ -60,7 +60,8 @@ def conversation_paths(df: DataFrame, id_col: str = "conv_id", turn_col: str = "
 def regrown(paths: DataFrame, every: int = 20, most: int = 4) -> DataFrame:
     """Each conversation c with its first h turns replaced by those of conversation c - c % ``every``; h = CRC-32 of c modulo ``most``.
 
-    A conversation to take turns from that is absent or shorter gives what it has.
+    A conversation to take turns from that is absent or shorter gives what it has. ``%`` has
+    the sign of c, as in SQL.
     """
     stored = cut_lineage(paths)
     heads = stored.where(F.col("conv_id") % every == 0).select(F.col("conv_id").alias("_base"), F.slice("path", 1, most - 1).alias("_head"))
@@ -194,13 +195,13 @@ def _open_paths(batches):
             yield path, {d: tuple(x.values()) for d, x in enumerate(at) if x["convs"] or x["kids"]}
 
 
-def _shards(read, last: bool, keyed: bool):
+def _shards(read, last: bool, keyed: bool, most_paths: int, most_tokens: int, least: int):
     """Function over sorted batches: cuts them into range shards and yields finished nodes and open paths."""
     def run(batches):
         shard, tokens = [], 0
         for path, at in read(batches):
-            full = len(shard) >= SHARD_PATHS or tokens >= SHARD_TOKENS
-            if full and len(shard) >= LEAST_PATHS and not last:
+            full = len(shard) >= most_paths or tokens >= most_tokens
+            if full and len(shard) >= least and not last:
                 yield _frame(*_Shard(shard).close(last, keyed))
                 shard, tokens = [], 0
             shard.append((path, at))
@@ -211,15 +212,19 @@ def _shards(read, last: bool, keyed: bool):
     return run
 
 
-def prefix_nodes(paths: DataFrame) -> DataFrame:
-    """One row per node of the trie of ``paths`` (conv_id, path): see ``prefix_trie``."""
+def prefix_nodes(paths: DataFrame, most_paths: int = SHARD_PATHS, most_tokens: int = SHARD_TOKENS, least: int = LEAST_PATHS) -> DataFrame:
+    """One row per node of the trie of ``paths`` (conv_id, path): see ``prefix_trie``.
+
+    A range shard ends at ``most_paths`` paths or ``most_tokens`` tokens, but has ``least`` paths.
+    """
+    limits = most_paths, most_tokens, least
     ids = F.concat_ws(",", F.transform(F.sort_array(F.collect_list("conv_id")), lambda c: c.cast("string")))
     members = cut_lineage(paths.groupBy("path", F.floor(F.col("conv_id") / ID_RANGE).alias("at")).agg(
         F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("low"), ids.alias("ids")
     ))
     width = partitions_for(paths)
     ordered = members.repartitionByRange(width, "path").sortWithinPartitions("path", "at").select("path", "n", "low", "ids")
-    rounds = [cut_lineage(ordered.mapInArrow(_shards(_first_paths, False, False), _OUT))]
+    rounds = [cut_lineage(ordered.mapInArrow(_shards(_first_paths, False, False, *limits), _OUT))]
     before = None
     while True:
         rest = rounds[-1].where(F.col("path").isNotNull()).select("path", "at")
@@ -227,10 +232,10 @@ def prefix_nodes(paths: DataFrame) -> DataFrame:
         if not n:
             break
         # A round that closes too little is followed by the last one.
-        last = n <= LEAST_PATHS or (n <= SHARD_PATHS and tokens <= SHARD_TOKENS) or (before is not None and 2 * n > before)
-        shards = max(1, min(width, n // (4 * LEAST_PATHS), max(n // SHARD_PATHS, tokens // SHARD_TOKENS)))
+        last = n <= least or (n <= most_paths and tokens <= most_tokens) or (before is not None and 10 * n > 9 * before)
+        shards = max(1, min(width, n // (4 * least), max(n // most_paths, tokens // most_tokens)))
         rest = (rest.coalesce(1) if last else rest.repartitionByRange(shards, "path")).sortWithinPartitions("path")
-        rounds.append(cut_lineage(rest.mapInArrow(_shards(_open_paths, last, True), _OUT)))
+        rounds.append(cut_lineage(rest.mapInArrow(_shards(_open_paths, last, True, *limits), _OUT)))
         before = n
         if last:
             break
