@@ -3,8 +3,8 @@
 The targets are found on the table of sources: every source gets words in proportion to
 its weight; a source above its cap (maximum epochs times its size) is clamped and the
 excess is shared by the others, until none is above. A source then takes every document
-as often as it has whole epochs, and one more fractional epoch of documents in a seeded
-order, of which the last one is taken in part. Only sums over sources reach the driver.
+as often as it has whole epochs, and one more fractional epoch of whole documents in a
+seeded order. Only sums over sources reach the driver.
 """
 
 from __future__ import annotations
@@ -56,16 +56,16 @@ def water_fill(sources: DataFrame, share: float, max_epochs: float, size: str =
 def mix(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple = WEIGHTS, share: float = 1.5, max_epochs: float = 2.0, seed: str = "mix-1", carry: list[str] | None = None,
-    whole_texts: bool = False,
 ) -> DataFrame:
     """One row per row of ``df``: id, size, source_size, target (of its source), whole, taken, and ``carry`` columns.
 
-    ``taken`` is ``whole`` times the size plus the words of the fractional epoch. Sources
-    are weighed in order of their code points, null last (a source of its own), repeating
-    ``weights``. Null texts have size 0; repeated rows count as often as they occur; ties
-    of the seeded order only arise between rows with equal id and text. With ``whole_texts``
-    the last document of the fractional epoch is taken whole, so a source exceeds its target
-    by less than that document and stays within twice its size. Names in ``carry`` may not begin with ``_``.
+    ``taken`` is ``whole`` times the size, and once more the size for the documents of the
+    fractional epoch. Documents are always taken whole: the one in which the epoch ends is
+    taken or left, whichever is nearer to the target, so a source is off by half of one
+    document at most and stays within twice its size. Sources are weighed in order of their
+    code points, null last (a source of its own), repeating ``weights``. Null texts have size
+    0; repeated rows count as often as they occur; ties of the seeded order only arise
+    between rows with equal id and text. Names in ``carry`` may not begin with ``_``.
     """
     carry = carry or []
     base = df.select(
@@ -89,10 +89,7 @@ def mix(
     inside = Window.partitionBy(*key, "_bucket").orderBy("_h", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
     rows = base.join(spots, [*key, "_bucket"])
     earlier = F.col("_before") + F.coalesce(F.sum("_size").over(inside), F.lit(0))
-    extra = F.greatest(F.lit(0), F.least(F.col("_size"), F.col("_part") - earlier))
-    if whole_texts:
-        extra = F.when(extra > 0, F.col("_size")).otherwise(0)
-    rows = rows.withColumn("_extra", extra)
+    rows = rows.withColumn("_extra", F.when(2 * earlier + F.col("_size") <= 2 * F.col("_part"), F.col("_size")).otherwise(0))
     return rows.select(
         F.col("_id").alias(id_col), F.col("_size").alias("size"), F.col("_source_size").cast("bigint").alias("source_size"),
         F.col("_target").alias("target"), F.col("_whole").alias("whole"), (F.col("_whole") * F.col("_size") + F.col("_extra")).alias("taken"),
@@ -100,29 +97,12 @@ def mix(
     )
 
 
-def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", n_chars: str | None = "n_chars", **options) -> DataFrame:
-    """The rows of ``df`` as often as ``mix`` takes them, with all their columns.
-
-    The last document of a source's fractional epoch is taken up to its share of words: that
-    row has these words, joined by spaces, and their length in ``n_chars`` if there is such
-    a column; with ``whole_texts`` no text is cut. Documents without a word are not taken.
-    """
+def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``df`` as often as ``mix`` takes them, with all their columns; documents without a word are not taken."""
     source = df.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_words"), F.col(source_col).alias("_from"), F.struct("*").alias("_row"))
-    chosen = mix(source, "_doc", "_words", "_from", carry=["_row"], **options)
-    part = F.col("taken") - F.col("whole") * F.col("size")
-    copies = F.col("whole") + F.when(part > 0, 1).otherwise(0)
-    rows = chosen.where((F.col("size") > 0) & (copies > 0)).withColumn("_part", part).select(
-        "_row", "whole", "size", "_part", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("_copy")
-    )
-    cut = (F.col("_copy") > F.col("whole")) & (F.col("_part") < F.col("size"))
-    text = F.col("_row")[text_col]
-    words = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), F.col("_part").cast("int")), " ")
-    rows = rows.withColumn("_cut", F.when(cut, words))
-    new = {text_col: F.coalesce("_cut", text)}
-    if n_chars in df.columns:
-        kind = dict(df.dtypes)[n_chars]
-        new[n_chars] = F.when(F.col("_cut").isNotNull(), F.length("_cut").cast(kind)).otherwise(F.col("_row")[n_chars])
-    return rows.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in df.columns])
+    chosen = mix(source, "_doc", "_words", "_from", carry=["_row"], **options).where(F.col("taken") > 0)
+    copies = F.sequence(F.lit(1).cast("bigint"), F.floor(F.col("taken") / F.col("size")))
+    return chosen.select("_row", F.explode(copies)).select("_row.*")
 
 
 #: The same rows in SQL: clamped sources are those below the level of the sorted ratios.
@@ -150,5 +130,5 @@ runs AS (
   SELECT b.doc_id, b.size, s.source_size, s.target, s.whole, round(s.target)::BIGINT - s.whole * s.source_size AS part,
     coalesce(sum(b.size) OVER (PARTITION BY b.source ORDER BY b.h, b.doc_id, b.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
   FROM base b JOIN split s ON b.source IS NOT DISTINCT FROM s.source)
-SELECT doc_id, size, source_size, target, whole, whole * size + greatest(0, least(size, part - before))::BIGINT AS taken FROM runs
+SELECT doc_id, size, source_size, target, whole, whole * size + CASE WHEN 2 * before + size <= 2 * part THEN size ELSE 0 END AS taken FROM runs
 """
