@@ -25,8 +25,8 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of their source takes them, always with their whole text."""
-    return mixing.mixed_rows(docs, whole_texts=True)
+    """Documents as often as the mix of their source takes them, each with its whole text; texts without a word go."""
+    return mixing.mixed_rows(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
