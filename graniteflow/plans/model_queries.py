@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexer
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from graniteflow.functions.embedding import embed_batch, pool_layers
-from graniteflow.operators import classify, cluster, metrics, neural, reduce, regress, split, stats, tuning, vectorize
+from graniteflow.operators import classify, cluster, convex, metrics, neural, reduce, regress, split, stats, text_grid, tuning, vectorize
 from graniteflow.plans.catalog import query
 from graniteflow.plans.cluster_queries import points
 from graniteflow.plans.regress_queries import KEYS, LINEAR, Z, scaled_prices
 from graniteflow.plans.sqltools import sql_gram, sql_solve
+from graniteflow.plans.text_queries import plural_lemmas
 from graniteflow.plans.views import NET_PRICE, sql_unit, with_sql
 from graniteflow.session import cut_lineage, scratch_path, spread
 from graniteflow.sources.writers import load_model, save_model
@@ -226,29 +227,56 @@ def oob_error(t):
 # ------------------------------------------------------------------- searches
 @query("search_one_param")
 def search_one_param(t):
-    rows = cut_lineage(split.with_fold(labelled_docs(t), "doc_id", 3, seed=2))
-    found, size = [], rows.where("fold <> 0").count()
-    for c in (1e-3, 1.0, 1e3):
-        make = lambda c=c: LinearSVC(regParam=classify.reg_param(c, size), standardization=False, maxIter=100, tol=1e-4)
-        found += tuning.cross_validate(make, rows, "fold", range(3), tuning.MacroF1("label"), f"C={c}", parallelism=3)
-    return tuning.cv_results(tuning.scores_table(t.spark, found), ["candidate"])
+    """Eleven penalties of a linear SVM on five folds, fitted together."""
+    rows = cut_lineage(split.with_fold(labelled_docs(t), "doc_id", 5, seed=2))
+    table = cut_lineage(convex.rows_of(rows, vector_to_array("features"), "label", fold="fold"))
+    problems = [convex.Problem(f"C={c:g}", "squared_hinge", len(DOC_X), "l2", c, fold=f) for c in PENALTIES for f in range(5)]
+    found = convex.scores(table, convex.fit(table, problems))
+    return tuning.cv_results(found.select(F.col("name").alias("candidate"), "fold", F.col("train_f1").alias("train_score"), F.col("test_f1").alias("test_score")), ["candidate"])
+
+
+#: Eleven penalties, from 1e-4 to 1e6.
+PENALTIES = [10.0**e for e in range(-4, 7)]
+
+
+@query("convex_residuals", with_sql("c AS (SELECT unnest(range(-4, 7)) AS power)", "f AS (SELECT unnest(range(5)) AS fold)",
+    "m AS (SELECT unnest(['squared_hinge/l2', 'logistic/l2', 'logistic/l1']) AS model)",
+    "SELECT model, CAST(power AS INTEGER) AS power, CAST(fold AS INTEGER) AS fold, true AS settled FROM m CROSS JOIN c CROSS JOIN f"))
+def convex_residuals(t):
+    """Whether the gradient of every fit, summed anew over the rows by plain expressions, is a millionth of that at zero."""
+    rows = cut_lineage(split.with_fold(labelled_docs(t), "doc_id", 5, seed=2))
+    table = cut_lineage(convex.rows_of(rows, vector_to_array("features"), "label", fold="fold"))
+    kinds = [("squared_hinge", "l2"), ("logistic", "l2"), ("logistic", "l1")]
+    problems = [
+        convex.Problem(f"{loss}/{penalty} {e} {f}", loss, len(DOC_X), penalty, 10.0**e, fold=f)
+        for loss, penalty in kinds for e in range(-4, 7) for f in range(5)
+    ]
+    fits = convex.fit(table, problems, tol=1e-7)
+    y = 2 * F.col("label") - 1
+    weights = [(f.problem.name, f.problem.loss, f.problem.penalty, f.problem.c, f.problem.fold, f.weights.tolist()) for f in fits]
+    models = t.spark.createDataFrame(weights, "name string, loss string, penalty string, c double, held int, b array<double>")
+    both = table.join(F.broadcast(models), F.col("fold") != F.col("held"))
+    margin = y * (sum(F.col("vec")[j] * F.col("b")[j] for j in range(len(DOC_X))) + F.col("b")[len(DOC_X)])
+    pull = lambda m: -y * F.when(F.col("loss") == "logistic", 1 / (1 + F.exp(m))).otherwise(2 * F.greatest(F.lit(0.0), 1 - m))
+    cells = [F.col("vec")[j] for j in range(len(DOC_X))] + [F.lit(1.0)]
+    sums = [F.sum(F.col("c") * pull(at) * x).alias(f"{n}{j}") for n, at in (("g", margin), ("z", F.lit(0.0))) for j, x in enumerate(cells)]
+    found = both.groupBy("name", "penalty", "b").agg(*sums)
+    gaps = [F.abs(F.col(f"g{len(DOC_X)}"))]
+    for j in range(len(DOC_X)):
+        g, b = F.col(f"g{j}"), F.col("b")[j]
+        edge = F.when(b == 0, F.greatest(F.lit(0.0), F.abs(g) - 1)).otherwise(F.abs(g + F.signum(b)))
+        gaps.append(F.when(F.col("penalty") == "l1", edge).otherwise(F.abs(g + b)))
+    first = F.greatest(*[F.abs(F.col(f"z{j}")) for j in range(len(cells))])
+    part = F.split("name", " ")
+    return found.select(part[0].alias("model"), part[1].cast("int").alias("power"), part[2].cast("int").alias("fold"), (F.greatest(*gaps) <= 1e-6 * first).alias("settled"))
 
 
 @query("pipeline_grid")
 def pipeline_grid(t):
-    """Cleaner × analyzer × minimum document frequency × classifier on the text of the documents."""
-    rows = t.documents.select("doc_id", "text", (F.col("lang") == "en").cast("double").alias("label"))
-    rows = split.with_fold(rows, "doc_id", 2, seed=2).persist()
-    choices = tuning.grid(clean=[True, False], analyzer=["stem"], min_df=[3], model=["l2", "svm"])
-
-    def build(p):
-        prefix = (p["clean"], p["analyzer"], p["min_df"])
-        stage = classify.TextFeatures(clean=p["clean"], analyzer=p["analyzer"], min_df=p["min_df"])
-        last = LogisticRegression(maxIter=15, regParam=1e-3) if p["model"] == "l2" else LinearSVC(maxIter=15, regParam=1e-3)
-        return prefix, [stage], last
-
-    found = tuning.grid_search(build, choices, rows, "fold", range(2), tuning.MacroF1("label"))
-    return tuning.cv_results(tuning.scores_table(t.spark, found), ["candidate"])
+    """Cleaner × analyzer × minimum document frequency × reducer × classifier, 96 candidates on five folds."""
+    rows = split.with_fold(t.documents.select("doc_id", "text", (F.col("lang") == "en").cast("double").alias("label")), "doc_id", 5, seed=2)
+    found = text_grid.search(rows, "text", "label", "fold", 5, plural_lemmas(t), components=10)
+    return tuning.cv_results(found.select("candidate", "fold", "train_score", "test_score"), ["candidate"])
 
 
 @query("text_pipeline")

@@ -77,18 +77,22 @@ def stem_vocabulary(t):
     return words.select("token", tx.stem("token").alias("stem"), "n")
 
 
+def plural_lemmas(t):
+    """A lemma table of the words that end in s."""
+    plural = F.col("token").endswith("s") & (F.length("token") > 3)
+    return legal_tokens(t).where(plural).select(
+        F.col("token").alias("form"), F.lit("n").alias("pos"),
+        F.substring(F.col("token"), F.lit(1), F.length("token") - 1).alias("lemma"),
+    ).distinct()
+
+
 @query("lemmatize", with_sql(LEGAL, """lemmas AS (
   SELECT DISTINCT token AS form, 'n' AS pos, substr(token, 1, length(token)-1) AS lemma
   FROM legal WHERE token LIKE '%s' AND length(token) > 3)""", """
 SELECT coalesce(lemma, token) AS lemma, count(*) AS n, count(DISTINCT token) AS n_forms
 FROM legal LEFT JOIN lemmas ON token = form GROUP BY 1"""))
 def lemmatize(t):
-    words = legal_tokens(t)
-    plural = F.col("token").endswith("s") & (F.length("token") > 3)
-    table = words.where(plural).select(
-        F.col("token").alias("form"), F.lit("n").alias("pos"),
-        F.substring(F.col("token"), F.lit(1), F.length("token") - 1).alias("lemma"),
-    ).distinct()
+    words, table = legal_tokens(t), plural_lemmas(t)
     forms = words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     return tx.lemmatize(forms, table).groupBy("lemma").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_forms")
