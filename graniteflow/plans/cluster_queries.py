@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from graniteflow.functions import text as tx
 from graniteflow.functions.hashing import hash_int
-from graniteflow.operators import cluster, metrics, neighbours, reduce
+from graniteflow.operators import cluster, lloyd, metrics, neighbours, reduce
 from graniteflow.plans.catalog import query
 from graniteflow.plans.text_queries import WEIGHTS
 from graniteflow.plans.views import RUNS, cluster_runs, sql_hash, with_sql
@@ -209,24 +209,32 @@ def kmeans_assign(t):
 
 @query("kmeans")
 def kmeans(t):
-    rows = points(t).withColumn("features", array_to_vector("vec")).persist()
-    model, _ = cluster.kmeans(rows, 5, n_init=4, max_iter=20)
-    return model.transform(rows).select("id", F.col("prediction").alias("cluster"))
+    data = lloyd.dense_rows(points(t), "id", "vec")
+    run = lloyd.best(lloyd.many_starts(data, [5]), 5)
+    return lloyd.assign(data, [run]).select("id", F.col("clusters")[0].alias("cluster"))
+
+
+@query("kmeans_descent", "SELECT CAST(k AS INTEGER) AS k, CAST(s AS INTEGER) AS start, true AS falls, true AS settled, true AS fixed FROM (SELECT unnest([5, 10]) AS k) CROSS JOIN range(35) r(s)")
+def kmeans_descent(t):
+    """Per start: whether its cost never rose, it settled, and the cost computed anew from plain distances to the means of its clusters is its last."""
+    rows = points(t)
+    data = lloyd.dense_rows(rows, "id", "vec")
+    runs = lloyd.many_starts(data, [5, 10])
+    named = lloyd.assign(data, runs).select("id", F.posexplode("clusters").alias("run", "cluster")).join(rows.select("id", "vec"), "id")
+    cells = named.select("run", "cluster", "id", F.posexplode("vec").alias("j", "x"))
+    parts = cells.groupBy("run", "cluster", "j").agg(F.sum((F.col("x") * F.col("x"))).alias("q"), F.sum("x").alias("s"), F.count(F.lit(1)).alias("n"))
+    costs = parts.groupBy("run").agg(F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n")).alias("cost"))
+    falls = lambda r: all(b <= a * (1 + 1e-12) for a, b in zip(r.costs, r.costs[1:], strict=False))
+    about = t.spark.createDataFrame([(i, r.k, r.start, falls(r), r.settled, r.costs[-1]) for i, r in enumerate(runs)], "run int, k int, start int, falls boolean, settled boolean, last double")
+    return about.join(costs, "run").select("k", "start", "falls", "settled", (F.abs(F.col("cost") - F.col("last")) < 1e-6 * F.col("last")).alias("fixed"))
 
 
 @query("kmeans_tfidf")
 def kmeans_tfidf(t):
-    from pyspark.ml.feature import CountVectorizer
-
-    from graniteflow.functions import text as tx
-    from graniteflow.operators.classify import TfidfWeights
-
-    words = t.documents.select("doc_id", "lang", tx.legal_words(tx.tokens("text")).alias("words"))
-    counts = CountVectorizer(inputCol="words", outputCol="tf", minDF=3, vocabSize=2**31 - 1).fit(words)
-    weighted = TfidfWeights(inputCol="tf", outputCol="features").fit(counts.transform(words)).transform(counts.transform(words)).persist()
-    model, _ = cluster.kmeans(weighted, 4, n_init=2, max_iter=10)
-    found = model.transform(weighted).select("lang", F.col("prediction").alias("pred"))
-    return metrics.cluster_score_table(found, "lang", "pred")
+    data = weights(t)
+    run = lloyd.best(lloyd.many_starts(data, [4]), 4)
+    found = lloyd.assign(data, [run]).join(t.documents.select("doc_id", "lang"), "doc_id")
+    return metrics.cluster_score_table(found.select("lang", F.col("clusters")[0].cast("bigint").alias("pred")), "lang", "pred")
 
 
 @query("hierarchical")

@@ -51,11 +51,14 @@ def rating_matrix(t):
     return stats.rating_matrix(ratings(t)).select("user", "item", r6("rating"))
 
 
-@query("rating_pivot", with_sql(RATINGS, 'SELECT "user", ' + ", ".join(
-    f'round(coalesce(avg(rating) FILTER (item = {i}), 0), 6) AS item_{i}' for i in range(5)) + ' FROM ratings GROUP BY 1'))
+@query("rating_pivot", with_sql(RATINGS, """named AS (SELECT "user", 'item_' || item AS name, rating FROM ratings WHERE item IS NOT NULL)""", """
+SELECT "user", coalesce(round(COLUMNS('(item_.*)'), 6), 0) AS '\\1' FROM (PIVOT named ON name USING avg(rating) GROUP BY "user")"""))
 def rating_pivot(t):
-    wide = stats.rating_matrix(ratings(t), list(range(5)))
-    return wide.select("user", *[F.round(F.col(str(i)), 6).alias(f"item_{i}") for i in range(5)])
+    """Every item of the ratings is a column."""
+    rows = ratings(t).where("item IS NOT NULL")
+    items = [r["item"] for r in rows.select("item").distinct().orderBy("item").collect()]
+    wide = stats.rating_matrix(rows, items)
+    return wide.select("user", *[F.round(F.col(str(i)), 6).alias(f"item_{i}") for i in items])
 
 
 @query("density", with_sql(PART_RATINGS, """
