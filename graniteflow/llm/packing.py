@@ -26,6 +26,8 @@ from graniteflow.session import cut_lineage
 
 END = 1
 CAPACITY = 4096
+#: Chunks that a Python worker caches: less memory with fewer, less work with more; the ids are the same.
+CACHED_CHUNKS = 800_000
 OPEN_BINS = 16_384
 #: Pieces packed by one task; fewer tasks leave fewer open sequences at the end.
 TASK_PIECES = 50_000
@@ -50,7 +52,7 @@ class ChunkIds(dict):
 
     _WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]?)")
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = CACHED_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -144,12 +146,14 @@ class ChunkIds(dict):
         return ids, np.diff(ends[np.cumsum(counts + 1) - 1], prepend=0)
 
 
-def chunk_ids(path: str) -> ChunkIds:
+def chunk_ids(path: str, limit: int = CACHED_CHUNKS) -> ChunkIds:
     """The cache of a Python worker."""
-    return held(f"chunks {path}", lambda: ChunkIds(path))
+    return held(f"chunks {limit} {path}", lambda: ChunkIds(path, limit))
 
 
-def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pieces(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, capacity: int = CAPACITY, cached: int = CACHED_CHUNKS,
+) -> DataFrame:
     """(id, piece, start, length, ids_crc32): documents cut into pieces of at most ``capacity`` ids.
 
     A document has the ids of its text (null: none) and one id 1, so every row has a piece.
@@ -159,7 +163,7 @@ def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     schema = StructType.fromDDL(f"_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
     def run(batches):
-        chunks = chunk_ids(path or tokenizer_path())
+        chunks = chunk_ids(path or tokenizer_path(), cached)
         for batch in batches:
             for a, b, texts in text_slices(batch, 1):
                 ids, lengths = chunks.encode(texts)
@@ -241,10 +245,10 @@ def pack(rows: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, open
     return dealt.mapInPandas(run, schema)
 
 
-def pack_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+def pack_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, cached: int = CACHED_CHUNKS) -> DataFrame:
     """Pieces of all documents with their place: id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Empty and null texts are a piece of one id; repeated rows are packed as often as they
     occur; other columns are not read; an empty table gives no rows.
     """
-    return pack(pieces(df, id_col, text_col, path), id_col)
+    return pack(pieces(df, id_col, text_col, path, cached=cached), id_col)
