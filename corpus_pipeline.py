@@ -30,8 +30,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents and their places in sequences."""
-    return packing.pack_documents(docs)
+    """Pieces of all documents and their places in sequences.
+
+    Fewer chunks are cached than alone, since workers still hold memory of the stages before.
+    """
+    return packing.pack_documents(docs, cached=300_000)
 
 
 STAGES = [
