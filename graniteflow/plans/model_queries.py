@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from graniteflow.functions.embedding import embed_batch, pool_layers
-from graniteflow.operators import classify, cluster, convex, metrics, neural, reduce, regress, split, stats, text_grid, tuning, vectorize
+from graniteflow.operators import classify, cluster, convex, lloyd, metrics, neural, reduce, regress, split, stats, text_grid, tuning, vectorize
 from graniteflow.plans.catalog import query
 from graniteflow.plans.cluster_queries import points
 from graniteflow.plans.regress_queries import KEYS, LINEAR, Z, scaled_prices
@@ -304,16 +304,36 @@ def random_search(t):
 
 @query("clustering_grid")
 def clustering_grid(t):
-    """Inputs × clusterings, all scored in one job."""
-    raw = points(t).withColumn("features", array_to_vector("vec")).persist()
-    flat = reduce.pca2(raw, k=8).transform(raw).drop("features").withColumnRenamed("pca", "features").persist()
-    runs = []
-    for name, rows in (("raw", raw), ("pca8", flat)):
-        for k in (5, 10):
-            model, _ = cluster.kmeans(rows, k, n_init=2, max_iter=10)
-            runs.append(model.transform(rows).select(F.lit(f"{name}/kmeans{k}").alias("run_id"), F.col("label").alias("truth"), F.col("prediction").cast("bigint").alias("pred")))
-        model = cluster.hierarchical(rows, 10)
-        runs.append(model.transform(rows).select(F.lit(f"{name}/hierarchical").alias("run_id"), F.col("label").alias("truth"), F.col("prediction").cast("bigint").alias("pred")))
-    labels = cluster.dbscan(points(t), "id", "vec", 1.15, 5).join(points(t).select("id", F.col("label").alias("truth")), "id")
-    runs.append(labels.select(F.lit("raw/dbscan1.15").alias("run_id"), "truth", F.col("label").alias("pred")))
+    """Inputs × clusterings, all scored in one job: per input three k of k-means, a hierarchy, two radii and two density groups."""
+    raw = cut_lineage(points(t).withColumn("features", array_to_vector("vec")))
+    inputs = {"raw": raw.select("id", "vec", "features", "label")}
+    wide = reduce.pca2(raw, k=32).transform(raw).select("id", vector_to_array("pca").alias("vec"), "label")
+    wide = cut_lineage(wide)
+    for k in GRID_COMPONENTS:
+        part = wide.withColumn("vec", F.slice("vec", 1, k))
+        inputs[f"pca{k}"] = part.withColumn("features", array_to_vector("vec"))
+    runs = [run for one in tuning.in_threads([lambda n=n, r=r: _clusterings(n, r) for n, r in inputs.items()], 5) for run in one]
     return metrics.cluster_score_table(stats.union_all(runs), "truth", "pred", ["run_id"])
+
+
+#: Leading principal components that serve as inputs beside the raw vectors.
+GRID_COMPONENTS = (2, 4, 8, 12, 16, 20, 24, 28, 32)
+
+
+def _clusterings(name, rows):
+    """Eight labelled runs of one input; radii follow the mean distance of rows to the middle."""
+    truth = rows.select("id", F.col("label").alias("truth"))
+    named = lambda table, run, pred: cut_lineage(table.join(truth, "id").select(F.lit(f"{name}/{run}").alias("run_id"), "truth", pred.cast("bigint").alias("pred")))
+    data = lloyd.dense_rows(rows, "id", "vec")
+    found = lloyd.many_starts(data, [10, 20, 50])
+    best = [lloyd.best(found, k) for k in (10, 20, 50)]
+    assigned = lloyd.assign(data, best)
+    runs = [named(assigned, f"kmeans{r.k}", F.col("clusters")[i]) for i, r in enumerate(best)]
+    runs.append(named(cluster.hierarchical(rows, 20).transform(rows).select("id", "prediction"), "hierarchical", F.col("prediction")))
+    middle = [r[0] for r in rows.select(F.posexplode("vec").alias("j", "x")).groupBy("j").agg(F.avg("x").alias("m")).orderBy("j").select("m").collect()]
+    scale = rows.agg(F.avg(F.sqrt(cluster.squared_distance("vec", middle)))).first()[0]
+    ready = cluster.prepare(rows.select("id", "vec"), "id", "vec")
+    for share in (0.3, 0.6):
+        runs.append(named(cluster.dbscan(rows, "id", "vec", share * scale, 5, ready), f"dbscan{share}", F.col("label")))
+        runs.append(named(cluster.density_clusters(rows, "id", "vec", share * scale, 5, 10, ready), f"density{share}", F.col("label")))
+    return runs
