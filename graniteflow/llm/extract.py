@@ -1,16 +1,19 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped to lines, one per block element. A line counts the characters of its
-text that are not link text; lines of parts that are no article (menus, footers, adverts,
-forms, comments …) count nothing, and so do lines outside the article element of a page
-that has one. The sums over windows of lines form a curve; the text between its surge and
-its dive is kept, without the lines of those parts.
+Markup is stripped to lines, one per block element. A line weighs the characters of its
+text; link text weighs nothing outside of article elements. Lines of parts that are no
+article (menus, footers, adverts, forms, comments …) weigh 0, and so do lines outside the
+article elements of a page that has most of its text in them, or lines inside where the
+text is elsewhere (comments and teasers can be articles). The sums over windows of lines
+form a curve; the text between its surge and its dive is kept, without lines of weight 0.
+Time and memory are linear in the page.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,8 @@ WINDOW, LEVEL = 3, 0.2
 CLIP = 3
 #: A marked part with more than this share of the page's text is no mere page part.
 MOST = 0.75
+#: How many times more a character weighs in an article element when the side with the text is chosen.
+FAVOUR = 3
 
 # Fixed names of the HTML standard and usual names of page parts.
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -40,26 +45,35 @@ _NAMES = re.compile(
 )
 # With one of the names, these make a compound name such as ad-box or site-header.
 _AFFIXES = frozenset("box bar block list area link links unit slot site main global top bottom left right primary secondary buttons form panel".split())
+# After one of the names, these make one too, such as cookie-banner-wrap.
+_WRAPS = frozenset("wrap wrapper inner outer body content container holder row section item items text message".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# An unpaired quote is a character like others, so that no tag is read twice.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"(?<![^\s=\"'/>])([^\s=\"'/>]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+# Items and what each closes.
+_ITEMS = {"li": ("li",), "tr": ("tr",), "option": ("option",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
 
 
 def _names_part(value: str, inside_main: bool) -> bool:
     """Whether a class or id token is a name of a page part, alone or in a compound of names and affixes."""
     for token in value.lower().split():
         parts = [x for x in re.split(r"[_-]+", token) if x]
-        named = [x for x in parts if _NAMES.fullmatch(x)]
-        if named and all(x in named or x in _AFFIXES for x in parts) and not (inside_main and {"header", "masthead"} & set(named)):
+        named = [bool(_NAMES.fullmatch(x)) for x in parts]
+        if not any(named) or inside_main and {"header", "masthead"} & set(parts):
+            continue
+        first = named.index(True)
+        if all(n or x in _AFFIXES or x in _WRAPS and i > first for i, (x, n) in enumerate(zip(parts, named))):
             return True
     return False
 
 
-def _no_article(tag: str, attributes: str, inside_main: bool) -> str:
-    """``hidden`` or ``part`` for what opens a part that is no article, ``named`` if only a class or id says so, else empty."""
-    found = "part" if tag in _OTHER or tag == "header" and not inside_main else ""
-    if not attributes or tag in ("html", "body", "article", "main"):
+def _no_article(tag: str, attributes: str, inside_main: bool, inside_article: bool) -> str:
+    """What opens a part that is no article: ``hidden``, ``part``, ``named`` if only a class or id says so,
+    ``inner`` for an article inside an article; else empty."""
+    found = "part" if tag in _OTHER or tag == "header" and not inside_main else "inner" if tag == "article" and inside_article else ""
+    if not attributes or tag in ("html", "body"):
         return found
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
@@ -67,22 +81,41 @@ def _no_article(tag: str, attributes: str, inside_main: bool) -> str:
             return "hidden"
         if name == "role" and value.lower() in _ROLES:
             found = "part"
-        elif name in ("class", "id") and not found and _names_part(value, inside_main):
+        elif name in ("class", "id") and tag != "main" and found in ("", "inner") and _names_part(value, inside_main):
             found = "named"
     return "hidden" if "hidden" in _ATTRIBUTE.sub(" ", attributes).lower().replace("/", " ").split() else found
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, characters of link text, within no-article part, within article element) of each line."""
-    lines: list[tuple[str, int, bool, bool]] = []
+class Lines(NamedTuple):
+    """The lines of a page: their text, characters of link text, and number of the innermost part and article (-1: none).
+
+    ``outer`` gives the part around each part, ``above`` the article or main element around each of those.
+    """
+
+    texts: list[str]
+    links: list[int]
+    part: list[int]
+    article: list[int]
+    outer: list[int]
+    above: list[int]
+    kinds: list[str]
+    holds: list[bool]
+
+
+def page_lines(page: str) -> Lines:
+    """Lines of a page, one per block element, in one pass whose time is linear in the page.
+
+    ``br`` begins a new line too, though it is no block element.
+    """
+    out = Lines([], [], [], [], [], [], [], [])
     parts: list[str] = []
     links = 0
-    stack: list[tuple[str, bool, bool]] = []  # tag, opens a part that is no article, opens the article
-    marks: list[str] = []  # kind of every such part
-    around: list[int] = []  # the open ones
-    inside: list[tuple[int, ...]] = []  # those around each line
-    holds: set[int] = set()  # those with an article element inside
-    main = link = 0
+    stack: list[tuple[str, bool, bool]] = []  # tag, opens a part that is no article, opens an article
+    places: dict[str, list[int]] = {}  # where each tag is open in the stack
+    blocks: list[int] = []  # where block elements are open
+    part = article = -1
+    link = articles = 0
+    unclosed: set[str] = set()
     at, skip_to = 0, 0
 
     def flush():
@@ -90,18 +123,23 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                lines.append((text, links, bool(around), main > 0))
-                inside.append(tuple(around))
+                for column, value in zip(out, (text, links, part, article)):
+                    column.append(value)
             parts.clear()
         links = 0
 
     def close(depth: int):
-        nonlocal main, link
+        nonlocal part, article, link, articles
         while len(stack) > depth:
-            tag, was_out, was_main = stack.pop()
-            if was_out:
-                around.pop()
-            main -= was_main
+            tag, opened, main = stack.pop()
+            places[tag].pop()
+            if tag not in _INLINE:
+                blocks.pop()
+            if opened:
+                part = out.outer[part]
+            if main:
+                article = out.above[article]
+                articles -= tag == "article"
             link -= tag == "a"
 
     for token in _TOKEN.finditer(page):
@@ -120,96 +158,144 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
         if token[1]:
             if tag not in _INLINE:
                 flush()
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            open_at = places.get(tag)
             # An inline end tag closes no block element that was left open around it.
-            if depth is not None and (tag not in _INLINE or all(s[0] in _INLINE for s in stack[depth:])):
-                close(depth)
+            if open_at and (tag not in _INLINE or not blocks or open_at[-1] > blocks[-1]):
+                close(open_at[-1])
             continue
         if tag in _RAW or tag in _HIDDEN and tag not in _VOID:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            end = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             flush() if tag not in ("noscript", "script", "style") else None
+            if not end:
+                unclosed.add(tag)
             skip_to = at = end.end() if end else (len(page) if tag in _RAW else at)
             continue
         if tag not in _INLINE:
             flush()
-        if tag in _CLOSES_P or tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
+        if blocks and (tag in _CLOSES_P or tag in _ITEMS):
             # A new block closes an open paragraph or item of the same list.
-            wanted = ("p",) if tag in _CLOSES_P else (tag,) if tag in ("li", "tr", "option") else ("dt", "dd") if tag in ("dt", "dd") else ("td", "th")
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in wanted:
-                    close(i)
-                    break
-                if stack[i][0] not in _INLINE:
-                    break
-        if tag in _VOID or token[3].endswith("/") and tag in ("br", "hr", "img"):
+            if stack[blocks[-1]][0] in (("p",) if tag in _CLOSES_P else _ITEMS[tag]):
+                close(blocks[-1])
+        if tag in _VOID or token[3].endswith("/") and tag in ("hr", "img"):
             continue
-        kind = _no_article(tag, token[3], main > 0)
-        opens_main = tag in _MAIN
-        if opens_main:
-            holds.update(around)
-        stack.append((tag, bool(kind), opens_main))
+        kind = _no_article(tag, token[3], article >= 0, articles > 0)
+        main = tag in _MAIN
+        if main:
+            if kind:
+                out.holds.append(True)
+            elif part >= 0:
+                out.holds[part] = True
+            out.above.append(article)
+            article = len(out.above) - 1
+            articles += tag == "article"
+        elif kind:
+            out.holds.append(False)
         if kind:
-            around.append(len(marks))
-            marks.append(kind)
-        main += opens_main
+            out.outer.append(part)
+            out.kinds.append(kind)
+            part = len(out.outer) - 1
+        places.setdefault(tag, []).append(len(stack))
+        if tag not in _INLINE:
+            blocks.append(len(stack))
+        stack.append((tag, bool(kind), main))
         link += tag == "a"
     if at < len(page):
         parts.append(page[at:])
     flush()
-    if any(m and not o for _, _, o, m in lines):
-        return lines
-    # No mark but a hidden one wins around the only article, nor a name around most of the text.
-    sizes = [0] * len(marks)
-    for (text, *_), open_marks in zip(lines, inside):
-        for k in open_marks:
-            sizes[k] += len(text)
-    most = MOST * sum(len(x[0]) for x in lines)
-    void = {k for k, kind in enumerate(marks) if kind != "hidden" and k in holds or kind == "named" and sizes[k] > most}
-    return [(t, n, not void.issuperset(ks), m) for (t, n, _, m), ks in zip(lines, inside)]
+    return out
+
+
+def line_weights(lines: Lines) -> tuple[np.ndarray, bool]:
+    """Weight of each line, and whether the article elements hold the text.
+
+    Lines of parts that are no article weigh 0, unless the part is void: an article element
+    inside and no more text outside, a mere name around more than ``MOST`` of the text, or
+    articles inside an article with more text than the rest. The others weigh their
+    characters, outside of articles without link text. The articles hold the text if
+    ``FAVOUR`` times their weight reaches that of the rest; the other side then weighs 0.
+    """
+    size = np.array([len(t) for t in lines.texts], np.int64)
+    linked = np.minimum(np.array(lines.links, np.int64), size)
+    part, inside = np.array(lines.part, np.int64), np.array(lines.article, np.int64) >= 0
+    n = len(lines.outer)
+    sizes, holds = np.bincount(part[part >= 0], size[part >= 0], n).astype(np.int64).tolist(), list(lines.holds)
+    for k in range(n - 1, -1, -1):  # what is inside a part has a larger number
+        if lines.outer[k] >= 0:
+            sizes[lines.outer[k]] += sizes[k]
+            holds[lines.outer[k]] |= holds[k]
+    total, outside = int(size.sum()), int((size - linked)[part < 0].sum())
+    nested = sum(sizes[k] for k in range(n) if lines.kinds[k] == "inner")
+    bare = not (inside & (part < 0)).any()
+    out = []
+    for k, kind in enumerate(lines.kinds):
+        void = kind == "inner" and 2 * nested > total or kind == "named" and sizes[k] > MOST * total
+        void |= kind != "hidden" and bare and holds[k] and sizes[k] > outside
+        out.append(not void or lines.outer[k] >= 0 and out[lines.outer[k]])
+    marked = np.array([k >= 0 and out[k] for k in lines.part], bool)
+    weights = np.where(marked, 0, np.where(inside, size, size - linked))
+    own, rest = int(weights[inside].sum()), int(weights[~inside].sum())
+    main = own > 0 and FAVOUR * own >= rest
+    return np.where(inside == main, weights, 0), main
+
+
+def text_span(weights: np.ndarray) -> tuple[int, int, float]:
+    """Line of the surge, line of the dive, and the least weight of a line at either.
+
+    Of the sums over ``WINDOW`` lines, the surge is in the first above the level and the
+    dive in the last, as articles have short lines within.
+    """
+    clipped = np.minimum(weights, CLIP * np.median(weights[weights > 0]))
+    level = LEVEL * np.convolve(clipped, np.ones(WINDOW)).max()
+    curve = np.convolve(weights, np.ones(WINDOW, np.int64))[WINDOW - 1 :]  # of the window that begins at each line
+    high = np.flatnonzero(curve > level)
+    surge, dive = int(high[0]), min(len(weights) - 1, int(high[-1]) + WINDOW - 1)
+    while surge < dive and weights[surge] <= level / WINDOW:
+        surge += 1
+    while dive > surge and weights[dive] <= level / WINDOW:
+        dive -= 1
+    return surge, dive, level / WINDOW
 
 
 def main_text(page: str) -> str:
-    """The lines between surge and dive, joined by newlines; empty if no line counts.
+    """The lines of some weight between surge and dive, joined by newlines; empty if no line counts.
 
-    The dive is the last crossing after the surge, as articles have short lines within.
+    Short lines beside the text, such as its headline, belong to it: the span reaches over
+    adjacent lines up to a link line or a part that is no article or, where articles hold the
+    text, up to the end of the article (and the elements around it) that has the surge or dive.
     """
     lines = page_lines(page)
-    has_main = any(m and not o for _, _, o, m in lines)
-    weights = np.array([0 if o or has_main and not m else len(t) if m else max(0, len(t) - n) for t, n, o, m in lines], np.int64)
+    weights, main = line_weights(lines)
     if not weights.any():
         return ""
-    if has_main:
-        # Every counting line of the article element stands above the level of 0 around it.
-        level = 0.0
-    else:
-        clipped = np.minimum(weights, CLIP * np.median(weights[weights > 0]))
-        level = LEVEL * np.convolve(clipped, np.ones(WINDOW)).max()
-    curve = np.convolve(weights, np.ones(WINDOW, np.int64))[WINDOW - 1 :]  # of the window that begins at each line
-    high = np.flatnonzero(curve > level)
-    surge, dive = int(high[0]), int(high[-1])
-    if level == 0.0:
-        counting = np.flatnonzero(weights)
-        surge, dive = int(counting[0]), int(counting[-1])
-    else:
-        while surge < dive and weights[surge] <= level / WINDOW:
-            surge += 1
-        dive = min(len(lines) - 1, dive + WINDOW - 1)
-        while dive > surge and weights[dive] <= level / WINDOW:
-            dive -= 1
-        # Short lines beside the text, such as its headline, belong to it; link lines end it.
-        near = lambda i: 0 <= i < len(lines) and weights[i] > 0 and 2 * lines[i][1] < len(lines[i][0])
-        while near(surge - 1):
-            surge -= 1
-        while near(dive + 1):
-            dive += 1
-    kept = [t for (t, _, o, m) in lines[surge : dive + 1] if not o and (m or not has_main)]
-    return "\n".join(kept)
+    surge, dive, _ = text_span(weights)
+
+    def reach(edge: int, step: int) -> int:
+        around, k = set(), lines.article[edge]
+        while k >= 0:
+            around.add(k)
+            k = lines.above[k]
+        i = edge + step
+        while 0 <= i < len(weights):
+            if main:
+                if lines.article[i] not in around:
+                    break
+                edge = i if weights[i] else edge
+            elif weights[i] and 2 * lines.links[i] < len(lines.texts[i]):
+                edge = i
+            else:
+                break
+            i += step
+        return edge
+
+    surge, dive = reach(surge, -1), reach(dive, 1)
+    return "\n".join(lines.texts[i] for i in range(surge, dive + 1) if weights[i])
 
 
 def extract_pages(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of ``df``: id, url, text, n_chars (code points).
 
-    A null, empty or text-free page gives an empty text; repeated rows give repeated rows.
+    A null, empty or text-free page gives an empty text; repeated rows give repeated rows. Pages
+    of any length are read whole, in time and memory linear in their length.
     """
 
     def make():

@@ -2,12 +2,15 @@ import hashlib
 import html
 import os
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from graniteflow.llm import classifier, extract, fingerprints, ngram_join, packing, rules, token_counts
@@ -315,6 +318,51 @@ def test_marks_are_whole_names_and_yield_to_the_article(page, text):
     assert extract.main_text(page) == text
 
 
+BODY = "".join(f"<p>Paragraph {i} of the text says a number of things about its subject.</p>" for i in range(4))
+BODY_TEXT = "\n".join(f"Paragraph {i} of the text says a number of things about its subject." for i in range(4))
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div class='post'><h1>Head</h1>{BODY}</div><article>Nice post by Bob!</article><article>So it is.</article>", "Head\n" + BODY_TEXT),
+    (f"<h1>Head</h1>{BODY}<aside><article>A teaser</article></aside>", "Head\n" + BODY_TEXT),
+    (f"<h1>Head</h1>{BODY}<article class='comment'>A comment</article>", "Head\n" + BODY_TEXT),
+    (f"<article>{BODY}</article><article class='comment'>Me too.</article><article class='ad-box'>Buy it.</article>", BODY_TEXT),
+    (f"<article>{BODY}<article>A comment inside the article.</article></article>", BODY_TEXT),
+    (f"<article><article>{BODY}</article><article>{BODY}</article></article>", BODY_TEXT + "\n" + BODY_TEXT),
+    (f"<div class='cookie-banner-wrap'>We use cookies on this site, and we say so at length.</div>{BODY}", BODY_TEXT),
+    (f"<article>{BODY}<div class='ad-box'>Buy now</div><p>End.</p></article>", BODY_TEXT + "\nEnd."),
+    (f"<main><h1>Head</h1><article>{BODY}</article><article>A short teaser.</article></main>", "Head\n" + BODY_TEXT),
+    (f"<p title=\"it's>{BODY}", BODY_TEXT),
+])
+def test_the_curve_and_the_marks_find_the_side_with_the_text(page, text):
+    assert extract.main_text(page) == text
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.integers(0, 400), min_size=1, max_size=40).filter(any))
+def test_surge_and_dive_against_every_window(sizes):
+    surge, dive, least = extract.text_span(np.array(sizes))
+    counting = sorted(x for x in sizes if x)
+    middle = (counting[(len(counting) - 1) // 2] + counting[len(counting) // 2]) / 2
+    clipped = [min(x, extract.CLIP * middle) for x in sizes]
+    windows = range(1 - extract.WINDOW, len(sizes))
+    total = lambda values, i: sum(values[max(0, i) : i + extract.WINDOW])
+    level = extract.LEVEL * max(total(clipped, i) for i in windows)
+    high = [i for i in range(len(sizes)) if total(sizes, i) > level]
+    inside = [i for i in range(high[0], min(len(sizes), high[-1] + extract.WINDOW)) if sizes[i] > level / extract.WINDOW]
+    assert (surge, dive) == (inside[0], inside[-1]) and least == pytest.approx(level / extract.WINDOW)
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 200_000, "<div>" * 8_000 + "</b>" * 8_000, "<b>" + "<div>" * 8_000 + "</b>" * 8_000, "<div class='ad'><p>x</p>" * 40_000,
+    "<article class='ad'><p>x</p>" * 30_000, "<i>" * 100_000 + "<p>" * 100_000, "<object>" * 100_000, '<a "" ' * 100_000 + '<a "', "<div " + "a" * 1_000_000 + ">",
+])
+def test_time_is_linear_in_the_page(page):
+    began = time.process_time()
+    extract.main_text(page)
+    assert time.process_time() - began < 3
+
+
 def test_every_page_has_a_row(spark):
     rows = [(1, "u", "<p>Hello there</p>"), (1, "u", "<p>Hello there</p>"), (None, None, None), (2, "v", "")]
     df = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, text string")
