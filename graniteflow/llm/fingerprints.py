@@ -10,16 +10,19 @@ Everything is built-in column functions; two 32-bit counters share one long sum.
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graniteflow.llm.order import deal_by_order
-from graniteflow.session import cut_lineage
+from graniteflow.session import cut_lineage, partitions_for
 
 BITS = 128
-#: Radius and blocks at which texts count as near copies; README.md has the measured recall.
-NEAR_RADIUS, NEAR_BLOCKS = 20, 8
+#: Radius at which texts count as near copies; README.md has the measured recall.
+NEAR_RADIUS = 20
+#: Numbers of blocks to choose from, and the work of a flipped key in comparisons.
+BLOCKS, PROBE_WORK = (4, 6, 8, 16), 64
 _LANES = 0x0000000100000001
 _GAP = r"[\x20\x09-\x0D]+"
 #: At the start of every word: the word and the one after it.
@@ -85,12 +88,19 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def _widths(blocks: int) -> list[int]:
+    """Bits of each block; either half of a fingerprint has as many blocks."""
+    each, more = divmod(BITS // 2, blocks // 2)
+    return 2 * [each + (b < more) for b in range(blocks // 2)]
+
+
 def _parts(hi: Column, lo: Column, blocks: int) -> list[Column]:
     """The blocks of a fingerprint, or of the difference of two."""
-    each = BITS // blocks
-    mask = F.lit((1 << each) - 1)
-    halves = [(hi, b) if b < blocks // 2 else (lo, b - blocks // 2) for b in range(blocks)]
-    return [F.shiftrightunsigned(half, spot * each).bitwiseAND(mask) for half, spot in halves]
+    widths, half = _widths(blocks), blocks // 2
+    return [
+        F.shiftrightunsigned(hi if b < half else lo, sum(widths[b // half * half : b])).bitwiseAND(F.lit((1 << widths[b]) - 1).cast("bigint"))
+        for b in range(blocks)
+    ]
 
 
 def _tables(hi: Column, lo: Column, blocks: int, radius: int) -> Column:
@@ -109,19 +119,58 @@ def _tables(hi: Column, lo: Column, blocks: int, radius: int) -> Column:
 def _reaches(blocks: int, radius: int) -> list[int]:
     """Bits by which each block may differ: two fingerprints within the radius keep to it in one block at least."""
     each, more = divmod(radius + 1, blocks)
-    return [each - 1 + (b < more) for b in range(blocks)]
+    wide = sorted(range(blocks), key=lambda b: -_widths(blocks)[b])
+    return [each - 1 + (b in wide[:more]) for b in range(blocks)]
+
+
+def _masks(width: int, low: int, high: int) -> Column:
+    """Every number of ``width`` bits with ``low`` to ``high`` of them set, as one constant array."""
+    masks = [sum(1 << b for b in bits) for n in range(low, min(high, width) + 1) for bits in combinations(range(width), n)]
+    return F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
+
+
+def _flips(width: int, reach: int) -> Column:
+    """Every number of ``width`` bits with up to ``reach`` of them set; above 16 bits, made of two parts by their bits."""
+    if width <= 16:
+        return _masks(width, 0, reach)
+
+    def joined(bits: int) -> Column:
+        upper = _masks(width - 16, 0, reach - bits)
+        return F.flatten(F.transform(_masks(16, bits, bits), lambda m: F.transform(upper, lambda u: F.shiftleft(u, 16).bitwiseOR(m))))
+
+    return F.concat(*[joined(bits) for bits in range(min(16, reach) + 1)])
 
 
 def _probes(hi: Column, lo: Column, blocks: int, radius: int) -> Column:
     """Keys of every block with up to its reach of bits flipped, one table for each block."""
-    each = BITS // blocks
 
-    def table(t: int, value: Column, reach: int) -> Column:
-        masks = [sum(1 << b for b in bits) for n in range(reach + 1) for bits in combinations(range(each), n)]
-        flips = F.array(*[F.lit(m).cast("bigint") for m in masks])
-        return F.transform(flips, lambda m: F.struct(F.lit(t).alias("_table"), value.bitwiseXOR(m).alias("_block")))
+    def table(t: int, value: Column, width: int, reach: int) -> Column:
+        return F.transform(_flips(width, reach), lambda m: F.struct(F.lit(t).alias("_table"), value.bitwiseXOR(m).alias("_block")))
+
+    per_block = zip(_parts(hi, lo, blocks), _widths(blocks), _reaches(blocks, radius))
+    return F.concat(*[table(t, *x) for t, x in enumerate(per_block)])
+
+
+def probe_counts(blocks: int, radius: int) -> tuple[int, float]:
+    """Flipped keys of a query, and the share of random fingerprints that it meets under them."""
+    sizes = [(w, sum(comb(w, k) for k in range(r + 1))) for w, r in zip(_widths(blocks), _reaches(blocks, radius))]
+    return sum(n for _, n in sizes), sum(n / 2**w for w, n in sizes)
 
-    return F.flatten(F.array(*[table(t, *x) for t, x in enumerate(zip(_parts(hi, lo, blocks), _reaches(blocks, radius)))]))
+
+def cheapest_blocks(n: int, radius: int) -> int:
+    """The number of blocks with the least work for a query among ``n`` fingerprints; every choice finds all pairs.
+
+    With wider blocks a query has more flips and meets fewer fingerprints. A flip, which is
+    shuffled and sorted, counts as ``PROBE_WORK`` comparisons.
+    """
+    if radius < 4:
+        return 4
+    work = {}
+    for blocks in BLOCKS:
+        if blocks <= radius < 6 * blocks:
+            flips, share = probe_counts(blocks, radius)
+            work[blocks] = PROBE_WORK * flips + share * n
+    return min(work, key=work.get)
 
 
 def pairs_within(queries: DataFrame, prints: DataFrame, radius: int = 3, blocks: int = 4) -> DataFrame:
@@ -129,15 +178,16 @@ def pairs_within(queries: DataFrame, prints: DataFrame, radius: int = 3, blocks:
     distinct fingerprint of ``prints`` within ``radius`` bits, with the rows of ``prints`` that have it.
 
     Both inputs have ``_hi`` and ``_lo``. Equal fingerprints are counted together before
-    the join, so a group of copies is one row. ``blocks`` is 4, 8 or 16. Below ``blocks``
+    the join, so a group of copies is one row. ``blocks`` is 4, 6, 8 or 16 (``cheapest_blocks``). Below ``blocks``
     bits, each table of the permuted blocks is an equality join on its leading blocks;
     from there on, each block is a table in which the queries are looked up with all flips
     of up to its reach of bits. A pair that meets in several tables counts in the first.
     """
-    if blocks not in (4, 8, 16) or not 0 <= radius < 4 * blocks:
-        raise ValueError("blocks must be 4, 8 or 16 and above a quarter of the radius")
+    if blocks not in BLOCKS or not 0 <= radius < 6 * blocks:
+        raise ValueError("blocks must be 4, 6, 8 or 16 and above a sixth of the radius")
     counted = prints.groupBy("_hi", "_lo").agg(F.count(F.lit(1)).alias("_copies"))
-    left = queries.select("_hi", "_lo").distinct()
+    # Few and small before their flips, the queries would all be in one task.
+    left = queries.select("_hi", "_lo").distinct().repartition(partitions_for(prints), "_hi", "_lo")
     apart = [F.col(a).bitwiseXOR(F.col(b)) for a, b in (("_hi", "_hi2"), ("_lo", "_lo2"))]
     if radius < blocks:
         asked = kept = lambda a, b: _tables(F.col(a), F.col(b), blocks, radius)
@@ -204,10 +254,11 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
 
 
-def document_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: int = 50, radius: int = 3, blocks: int = 4) -> DataFrame:
+def document_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: int = 50, radius: int = 3, blocks: int | None = None) -> DataFrame:
     """``edited_fingerprints`` and ``n_within``: for each id divisible by ``every``, the number of
-    documents (itself included) whose fingerprint is within ``radius`` bits; null for other ids."""
+    documents (itself included) whose fingerprint is within ``radius`` bits; null for other ids. ``blocks`` is by default the cheapest number for the rows."""
     rows = cut_lineage(edited_fingerprints(df, id_col, text_col))
+    blocks = blocks or cheapest_blocks(rows.count(), radius)
     asked = F.col(id_col) % every == 0
     found = within_radius(rows.where(asked), rows, radius, blocks)
     found = found.select(F.lit(True).alias("_asked"), F.col("_hi").alias("_fh"), F.col("_lo").alias("_fl"), "n_within")

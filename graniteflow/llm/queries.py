@@ -27,7 +27,7 @@ def query(fn):
 @query
 def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
-    return fingerprints.document_fingerprints(documents, radius=fingerprints.NEAR_RADIUS, blocks=fingerprints.NEAR_BLOCKS)
+    return fingerprints.document_fingerprints(documents, radius=fingerprints.NEAR_RADIUS)
 
 
 @query

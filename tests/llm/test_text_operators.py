@@ -75,7 +75,7 @@ def test_block_tables_find_all_within_the_radius(spark, radius, blocks):
     assert got == expected
 
 
-@pytest.mark.parametrize("radius, blocks", [(3, 4), (18, 8), (20, 8), (23, 8)])
+@pytest.mark.parametrize("radius, blocks", [(3, 4), (5, 6), (8, 4), (18, 8), (20, 8), (23, 8), (20, 6), (12, 4)])
 def test_partners_are_all_pairs_within_the_radius(spark, radius, blocks):
     rng = np.random.default_rng(2)
     wide = lambda x: int.from_bytes(x.tobytes(), "little")
@@ -89,6 +89,17 @@ def test_partners_are_all_pairs_within_the_radius(spark, radius, blocks):
     assert {((r._hi, r._lo), (r._hi2, r._lo2)): (r.distance, r._copies) for r in rows} == expected and len(rows) == len(expected)
 
 
+def test_blocks_widen_as_the_fingerprints_grow():
+    sizes = [10**k for k in range(3, 13)]
+    chosen = [fingerprints.cheapest_blocks(n, 20) for n in sizes]
+    assert chosen == sorted(chosen, reverse=True) and chosen[0] == 16 and chosen[-1] == 4
+    met = {n: fingerprints.probe_counts(b, 20)[1] * n for n, b in zip(sizes, chosen)}
+    assert met[10**9] < 10 ** 3 * met[10**6] / 4
+    for blocks in (4, 6, 8, 16):
+        reaches = fingerprints._reaches(blocks, 20)
+        assert sum(r + 1 for r in reaches) == 21 and sum(fingerprints._widths(blocks)) == 128
+
+
 def test_edited_copies_count_as_near(spark):
     from graniteflow.llm import queries
 
