@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graniteflow.operators import regress, split, stats, tuning, vectorize
+from graniteflow.operators import monomials, regress, split, stats, tuning, vectorize
 from graniteflow.plans.catalog import query
 from graniteflow.plans.sqltools import sql_gram, sql_mse, sql_solve
 from graniteflow.plans.table_queries import ENCODED, encoded_net_price
@@ -133,39 +133,73 @@ def select_k_best(t):
     return t.spark.createDataFrame([(n,) for n in names], "feature string")
 
 
-THREE = ["l_discount", "l_tax", "l_quantity"]
 SPLIT_Z = sql_scaled("z", "net_price", [*LINEAR, "price"], [*KEYS, f"{sql_unit(42, *KEYS)} < 0.2 AS is_test"])
+# Rough centre and scale in which the columns are summed; results do not depend on them.
+ROUGH = {
+    "l_extendedprice": (50000.0, 30000.0), "l_discount": (0.05, 0.03), "l_tax": (0.04, 0.02), "l_quantity": (25.0, 15.0),
+    "p_size": (25.0, 15.0), "p_type": (2.5, 2.0), "l_returnflag": (1.0, 1.0), "price": (50000.0, 30000.0),
+}
 
 
 def _sql_sweep():
-    parts = [NET_PRICE, SPLIT_Z, "train AS (SELECT * FROM z WHERE NOT is_test)", "test AS (SELECT * FROM z WHERE is_test)"]
-    parts.append("f AS (" + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, power(corr({c}, price), 2)/(1-power(corr({c}, price), 2)) AS s FROM train" for c in THREE)
-        + "), o AS (SELECT feature, row_number() OVER (ORDER BY s DESC, feature) AS k FROM f)")
+    ranked = "o AS (SELECT feature, row_number() OVER (ORDER BY score DESC, feature) AS k FROM mi)"
+    pick = ", ".join(
+        f"CASE (SELECT feature FROM o WHERE k = {k}) " + " ".join(f"WHEN '{c}' THEN ({c} - avg({c}) OVER ())/stddev_pop({c}) OVER ()" for c in NET_FEATURES) + f" END AS f{k}"
+        for k in range(1, len(NET_FEATURES) + 1))
+    cols = [f"f{k}" for k in range(1, len(NET_FEATURES) + 1)]
+    parts = [ranked, f"z AS MATERIALIZED (SELECT {sql_unit(42, *KEYS[:2])} < 0.2 AS is_test, {pick}, (price - avg(price) OVER ())/stddev_pop(price) OVER () AS price FROM encoded)"]
     pieces = []
-    subsets = [[0], [1], [2], [0, 1], [0, 2], [1, 2], [0, 1, 2]]
-    for s in subsets:
-        tag = "".join(map(str, s))
-        cols = [THREE[i] for i in s]
-        parts += [sql_gram(f"ga{tag}", "train", cols, "price"), sql_gram(f"gb{tag}", "test", cols, "price")]
-        parts += sql_solve(f"s{tag}", f"ga{tag}", len(s) + 1)
-        inside = ",".join(f"'{c}'" for c in cols)
-        pieces.append(f"""SELECT CAST({len(s)} AS BIGINT) AS k, (SELECT feature FROM o WHERE k = {len(s)}) AS worst_feature,
-          round(sqrt({sql_mse(len(s) + 1, f'gb{tag}.', f's{tag}.')}), 6) AS rmse FROM s{tag} CROSS JOIN gb{tag}
-          WHERE (SELECT count(*) FROM o WHERE k <= {len(s)} AND feature IN ({inside})) = {len(s)}""")
-    return with_sql(*parts, " UNION ALL ".join(pieces))
+    for k in range(1, len(cols) + 1):
+        parts += [sql_gram(f"ga{k}", "(SELECT * FROM z WHERE NOT is_test)", cols[:k], "price"), sql_gram(f"gb{k}", "(SELECT * FROM z WHERE is_test)", cols[:k], "price")]
+        parts += sql_solve(f"s{k}", f"ga{k}", k + 1)
+        pieces.append(f"SELECT CAST({k} AS BIGINT) AS k, (SELECT feature FROM o WHERE k = {k}) AS worst_feature, "
+                      f"round(sqrt({sql_mse(k + 1, f'gb{k}.', f's{k}.')}), 6) AS rmse FROM s{k} CROSS JOIN gb{k}")
+    head, tail = SQL_MI.rsplit("{tail}", 1)
+    return head.rstrip() + ", " + ", ".join(parts) + " " + " UNION ALL ".join(pieces) + tail
 
 
-def _split_prices(t):
-    return split.split(scaled_prices(t), KEYS, 0.2, seed=42)
+def _split_moments(rows, cols, y, keys):
+    """(total, train, test) moments of the fixed split, from one pass."""
+    table = monomials.moment_table(split.with_test_flag(rows, keys, 0.2, seed=42), cols, y, 1, ["is_test"], ROUGH)
+    train, test = table[(False,)], table[(True,)]
+    return train + test, train, test
 
 
 @query("feature_count_sweep", _sql_sweep())
 def feature_count_sweep(t):
-    train, test = _split_prices(t)
-    rows = regress.feature_count_sweep(train, test, THREE, "price")
-    out = regress.result_rows(t.spark, rows, "k bigint, worst_feature string, rmse double")
-    return out.select("k", "worst_feature", F.round("rmse", 6).alias("rmse"))
+    """All seven columns, in the order of their mutual information with the price."""
+    scores = {r["feature"]: r["score"] for r in mutual_info(t).collect()}
+    order = sorted(NET_FEATURES, key=lambda c: (-scores[c], c))
+    total, train, test = _split_moments(encoded_net_price(t), order, "price", KEYS[:2])
+    unit = total.scales()
+    train, test = train.rescaled(*unit), test.rescaled(*unit)
+    out = []
+    for k in range(1, len(order) + 1):
+        coef = monomials.fit(train.gram(1, list(range(k))))
+        out.append({"k": k, "worst_feature": order[k - 1], "rmse": regress.mse_from_gram(test.gram(1, list(range(k))), coef) ** 0.5})
+    table = regress.result_rows(t.spark, out, "k bigint, worst_feature string, rmse double")
+    return table.select("k", "worst_feature", F.round("rmse", 6).alias("rmse"))
+
+
+SCALED_MODELS = [("ols", 0.0), ("ridge", 10000.0), ("lasso", 0.01), ("lasso", 0.1)]
+
+
+def _sql_lasso(name, source, p, alphas, rounds=400):
+    """CTEs of the minimiser of the mean squared error / 2 + alpha * sum of sizes, by coordinate steps on centred sums."""
+    mean = lambda i: f"(g_0_{i}/g_0_0)"
+    cells = [f"g_{i}_{j}/g_0_0 - {mean(i)}*{mean(j)} AS q_{i}_{j}" for i in range(1, p + 1) for j in range(i, p + 2)]
+    q = lambda i, j: f"q_{min(i, j)}_{max(i, j)}"
+    out = [f"{name}_q AS MATERIALIZED (SELECT *, {', '.join(cells)} FROM {source}, (SELECT unnest({alphas})::DOUBLE AS alpha))"]
+    step, keep = f"{name}_r", ", ".join(f"b_{i}" for i in range(1, p + 1))
+    inner = f"SELECT * FROM {step} JOIN {name}_q USING (alpha) WHERE step < {rounds}"
+    for i in range(1, p + 1):
+        rest = f"({q(i, p + 1)} - " + " - ".join(f"b_{j}*{q(i, j)}" for j in range(1, p + 1) if j != i) + ")"
+        inner = f"SELECT * REPLACE (sign({rest})*greatest(abs({rest}) - alpha, 0)/{q(i, i)} AS b_{i}) FROM ({inner})"
+    zero = ", ".join(f"0.0::DOUBLE AS b_{i}" for i in range(1, p + 1))
+    out.append(f"{step} AS (SELECT 0 AS step, alpha, {zero} FROM {name}_q UNION ALL SELECT step + 1 AS step, alpha, {keep} FROM ({inner}))")
+    base = f"{mean(p + 1)} - " + " - ".join(f"b_{i}*{mean(i)}" for i in range(1, p + 1))
+    out.append(f"{name} AS MATERIALIZED (SELECT *, {base} AS b_0 FROM {step} JOIN {name}_q USING (alpha) WHERE step = {rounds})")
+    return out
 
 
 def _sql_scaling():
@@ -174,29 +208,62 @@ def _sql_scaling():
     unscaled = f"u AS (SELECT is_test, {cells}, (price - avg(price) OVER ())/stddev_pop(price) OVER () AS price FROM raw)"
     parts = [NET_PRICE, raw, unscaled, SPLIT_Z]
     body = []
+    lassos = [a for m, a in SCALED_MODELS if m == "lasso"]
     for name, src in (("scaled", "z"), ("unscaled", "u")):
         parts += [sql_gram(f"a_{name}", f"(SELECT * FROM {src} WHERE NOT is_test)", LINEAR, "price"),
                   sql_gram(f"b_{name}", f"(SELECT * FROM {src} WHERE is_test)", LINEAR, "price"),
                   f"p_{name} AS (SELECT *, unnest([0.0, 10000.0])::DOUBLE AS alpha FROM a_{name})"]
         parts += sql_solve(f"s_{name}", f"p_{name}", 5, alpha="alpha")
-        body.append(f"SELECT '{name}' AS features, alpha, round(sqrt({sql_mse(5, f'b_{name}.', f's_{name}.')}), 6) AS rmse FROM s_{name} CROSS JOIN b_{name}")
+        parts += _sql_lasso(f"l_{name}", f"a_{name}", 4, lassos)
+        for models, source in (("CASE alpha WHEN 0 THEN 'ols' ELSE 'ridge' END", f"s_{name}"), ("'lasso'", f"l_{name}")):
+            body.append(f"SELECT '{name}' AS features, {models} AS model, alpha, round(sqrt({sql_mse(5, f'b_{name}.', f'{source}.')}), 6) AS rmse FROM {source} CROSS JOIN b_{name}")
     return with_sql(*parts, " UNION ALL ".join(body))
 
 
 @query("scaling_comparison", _sql_scaling())
 def scaling_comparison(t):
-    label = vectorize.standard_scale(net_price(t).select(*KEYS, *LINEAR, "price"), ["price"])
-    raw = label.withColumn("l_extendedprice", F.col("l_extendedprice") / 1000)
+    total, *parts = _split_moments(net_price(t), LINEAR, "price", KEYS)
+    mean, std, y_mean, y_std = total.scales()
+    # From the rough units back to the given ones, the price column in thousands.
+    thousand = [1000.0 if c == "l_extendedprice" else 1.0 for c in LINEAR]
+    plain = [-ROUGH[c][0] / ROUGH[c][1] for c in LINEAR], [u / ROUGH[c][1] for c, u in zip(LINEAR, thousand)]
     out = []
-    for name, rows in (("scaled", scaled_prices(t)), ("unscaled", raw)):
-        train, test = split.split(rows, KEYS, 0.2, seed=42)
-        g_train = regress.gram_table(train, LINEAR, "price")[()]
-        g_test = regress.gram_table(test, LINEAR, "price")[()]
-        for alpha in (0.0, 10000.0):
-            coef = regress.ridge_from_gram(g_train, alpha)
-            out.append({"features": name, "alpha": alpha, "rmse": regress.mse_from_gram(g_test, coef) ** 0.5})
-    table = regress.result_rows(t.spark, out, "features string, alpha double, rmse double")
-    return table.select("features", "alpha", F.round("rmse", 6).alias("rmse"))
+    for name, (center, scale) in (("scaled", (mean, std)), ("unscaled", plain)):
+        train, test = (m.rescaled(center, scale, y_mean, y_std).gram() for m in parts)
+        for model, alpha in SCALED_MODELS:
+            coef = monomials.fit(train, model, alpha)
+            out.append({"features": name, "model": model, "alpha": alpha, "rmse": regress.mse_from_gram(test, coef) ** 0.5})
+    table = regress.result_rows(t.spark, out, "features string, model string, alpha double, rmse double")
+    return table.select("features", "model", "alpha", F.round("rmse", 6).alias("rmse"))
+
+
+POLY_COLS, DEGREES = ["l_extendedprice", "l_discount"], range(1, 6)
+
+
+def _sql_degrees():
+    terms = monomials.exponents(len(POLY_COLS), max(DEGREES))[1:]
+    value = lambda e: "*".join(c for c, v in zip(POLY_COLS, e) for _ in range(v))
+    cols = [f"m{i}" for i in range(len(terms))]
+    last = len(cols) + 1
+    parts = [
+        NET_PRICE,
+        sql_scaled("z", "net_price", [*POLY_COLS, "price"], [f"CAST({sql_fold(FOLDS, 8, *KEYS)} AS INTEGER) AS fold"]),
+        "zp AS MATERIALIZED (SELECT fold, price, " + ", ".join(f"{value(e)} AS {c}" for e, c in zip(terms, cols)) + " FROM z)",
+        sql_gram("gf", "zp", cols, "price", ["fold"]).replace("gf AS", "gf AS MATERIALIZED", 1),
+    ]
+    spots = [(i, j) for i in range(last + 1) for j in range(i, last + 1)]
+    parts.append("gt AS MATERIALIZED (SELECT " + ", ".join(f"sum(g_{i}_{j}) AS g_{i}_{j}" for i, j in spots) + " FROM gf)")
+    body = []
+    for d in DEGREES:
+        size = len(monomials.exponents(len(POLY_COLS), d))
+        at = lambda i: last if i == size else i
+        cells = [(i, j, f"g_{at(i)}_{at(j)}") for i in range(size + 1) for j in range(i, size + 1)]
+        parts.append(f"te{d} AS MATERIALIZED (SELECT fold, " + ", ".join(f"{c} AS g_{i}_{j}" for i, j, c in cells) + " FROM gf)")
+        parts.append(f"tr{d} AS MATERIALIZED (SELECT fold, " + ", ".join(f"gt.{c} - gf.{c} AS g_{i}_{j}" for i, j, c in cells) + " FROM gf CROSS JOIN gt)")
+        parts += sql_solve(f"s{d}", f"tr{d}", size)
+        body.append(f"SELECT {d} AS degree, s{d}.fold, {size - 1} AS n_terms, round({sql_mse(size, f's{d}.', f's{d}.')}, 5) AS train_mse, "
+                    f"round({sql_mse(size, f'te{d}.', f's{d}.')}, 5) AS test_mse, true AS solved FROM s{d} JOIN te{d} USING (fold)")
+    return with_sql(*parts, " UNION ALL ".join(body))
 
 
 TWEET_LABELS = {"retweets": ["epoch", "followers", "user_id"], "epoch": ["retweets", "followers", "user_id"]}
@@ -234,6 +301,20 @@ MODELS = [("ols", 0.0)] + [("ridge", a) for a in ALPHAS]
 FOLDS = 5
 
 
+@query("poly_degree_search", _sql_degrees())
+def poly_degree_search(t):
+    """Degrees 1 to 5 of two columns on five folds from one pass; ``solved``: the gradient on the training rows is 0."""
+    rows = split.with_fold(net_price(t), KEYS, FOLDS, seed=8)
+    table = monomials.moment_table(rows, POLY_COLS, "price", max(DEGREES), ["fold"], ROUGH)
+    folds = {k[0]: m for k, m in table.items()}
+    out = monomials.degree_search(folds, DEGREES)
+    spread = sum(list(folds.values())[1:], start=list(folds.values())[0]).scales()[3] ** 2
+    for r in out:
+        r.update(train_mse=r["train_mse"] / spread, test_mse=r["test_mse"] / spread, solved=r["gradient"] < 1e-8)
+    found = regress.result_rows(t.spark, out, "degree int, fold int, n_terms int, train_mse double, test_mse double, solved boolean")
+    return _r6(found, ["degree", "fold", "n_terms", "solved"], ["train_mse", "test_mse"], 5)
+
+
 def fold_scores(t, models=MODELS):
     rows = split.with_fold(scaled_prices(t), KEYS, FOLDS, seed=8)
     found = regress.linear_fold_scores(rows, LINEAR, "price", "fold", models)
