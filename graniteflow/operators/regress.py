@@ -22,6 +22,7 @@ from graniteflow.operators import metrics
 from graniteflow.operators.ordering import running_totals
 from graniteflow.operators.split import bootstrap_weight
 from graniteflow.operators.vectorize import polynomial_vector
+from graniteflow.session import cut_lineage
 
 WIDE = 16
 
@@ -188,20 +189,26 @@ def gbt(cols_vector: str, y: str, preset: str = "leafwise", seed: int = 0, **ove
 def oob_predictions(
     train: DataFrame, key: str, features: str, y: str, trees: int, per_split: int, depth: int = 30, seed: int = 0,
 ) -> DataFrame:
-    """(key, y, est, n_trees): mean prediction of the trees whose resample left the row out."""
-    rows, votes = train.select(key, features, y), None
+    """(key, y, est, n_trees): mean prediction of the trees whose resample left the row out.
+
+    The rows are stored once; every tree is fitted on them by its resample weights, and one
+    pass scores them with all trees. Rows that no tree left out are not returned; rows that
+    share a key share their weights and give a row each.
+    """
+    rows = cut_lineage(train.select(key, features, y))
+    scored, left_out = rows, []
     for b in range(trees):
-        mine = rows.withColumn("weight", bootstrap_weight(key, F.lit(b), seed).cast("double"))
+        weight = bootstrap_weight(key, F.lit(b), seed).cast("double")
         tree = RandomForestRegressor(
-            featuresCol=features, labelCol=y, numTrees=1, bootstrap=False, featureSubsetStrategy=str(per_split),
-            maxDepth=depth, seed=seed + b, weightCol="weight",
+            featuresCol=features, labelCol=y, predictionCol=f"_p{b}", numTrees=1, bootstrap=False,
+            featureSubsetStrategy=str(per_split), maxDepth=depth, seed=seed + b, weightCol="_weight",
         )
-        model = tree.fit(mine.where("weight > 0"))
-        part = model.transform(mine.where("weight = 0")).select(key, y, "prediction")
-        votes = part if votes is None else votes.unionByName(part)
-    return votes.groupBy(key).agg(
-        F.first(y).alias(y), F.avg("prediction").alias("est"), F.count(F.lit(1)).alias("n_trees")
-    )
+        model = tree.fit(rows.withColumn("_weight", weight).where("_weight > 0"))
+        scored = model.transform(scored)
+        left_out.append(F.when(weight == 0, F.col(f"_p{b}")))
+    known = scored.select(key, y, F.filter(F.array(*left_out), lambda p: p.isNotNull()).alias("_p"))
+    total = F.aggregate("_p", F.lit(0.0), lambda a, p: a + p)
+    return known.where(F.size("_p") > 0).select(key, y, (total / F.size("_p")).alias("est"), F.size("_p").cast("bigint").alias("n_trees"))
 
 
 def oob_error(preds: DataFrame, y: str, est: str = "est") -> DataFrame:

@@ -103,6 +103,20 @@ def test_trees(spark, table):
     assert rmse(longer) < rmse(short)
 
 
+def test_oob_rows_are_scored_in_one_pass_by_each_tree_that_left_them_out(table):
+    from graniteflow.operators.split import bootstrap_weight
+
+    preds = regress.oob_predictions(table, "id", "features", "y", trees=6, per_split=2, depth=4, seed=3)
+    plan = preds._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and "Exchange" not in plan and "Join" not in plan
+    weights = [bootstrap_weight("id", F.lit(b), 3) for b in range(6)]
+    wanted = table.select("id", *[(w == 0).cast("int").alias(f"w{b}") for b, w in enumerate(weights)]).collect()
+    assert {r.id: r.n_trees for r in preds.collect()} == {r.id: sum(r[1:]) for r in wanted if sum(r[1:])}
+    one = regress.oob_predictions(table, "id", "features", "y", trees=1, per_split=2, depth=4, seed=3).collect()
+    low, high = table.agg(F.min("y"), F.max("y")).first()
+    assert one and all(low <= r.est <= high for r in one)
+
+
 def test_oob_rows_come_from_left_out_trees(table):
     preds = regress.oob_predictions(table, "id", "features", "y", trees=5, per_split=2, depth=4, seed=3)
     left_out = {
