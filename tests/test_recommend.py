@@ -138,3 +138,20 @@ def test_factor_models_on_planted_ratings(spark):
     items = spark.createDataFrame([(i, f"g{i}") for i in range(20)], "item int, genres string")
     top = recommend.top_factor_items(model.itemFactors, items, 4).collect()
     assert len(top) == 8 and all(r["genres"] == f"g{r['item']}" for r in top)
+
+
+def test_best_sorts_in_larger_values_only():
+    rng = np.random.default_rng(1)
+    seen, held = [np.zeros((40, 0)), np.zeros((40, 0))], [np.zeros((40, 0)), np.zeros((40, 0))]
+    for step in range(6):
+        new = [np.maximum(rng.integers(-3, 9, (40, 7)) / 8.0, 0.0), rng.random((40, 7))]
+        seen = [np.concatenate([a, b], axis=1) for a, b in zip(seen, new, strict=True)]
+        held = recommend._best(held, new, 5, 0.0)
+        order = np.argsort(-seen[0], axis=1, kind="stable")[:, :5]
+        want = [np.take_along_axis(a, order, axis=1) for a in seen]
+        real = want[0] > 0
+        width = held[0].shape[1]
+        assert not real[:, width:].any() and (held[0][:, :5] == want[0][:, :width]).all()
+        assert all((np.where(held[0] > 0, h, 0) == np.where(real, w, 0)[:, :width]).all() for h, w in zip(held, want, strict=True))
+    same = recommend._best(held, [np.zeros((40, 3)), np.zeros((40, 3))], 5, 0.0)
+    assert all(a is b for a, b in zip(same, held, strict=True))  # nothing above the floor, nothing sorted
