@@ -155,3 +155,9 @@ def test_best_sorts_in_larger_values_only():
         assert all((np.where(held[0] > 0, h, 0) == np.where(real, w, 0)[:, :width]).all() for h, w in zip(held, want, strict=True))
     same = recommend._best(held, [np.zeros((40, 3)), np.zeros((40, 3))], 5, 0.0)
     assert all(a is b for a, b in zip(same, held, strict=True))  # nothing above the floor, nothing sorted
+
+
+def test_users_travel_as_blocks(spark, data):
+    """Ratings are packed before homes and guests meet, so a meeting costs a row for each block, not for each rating."""
+    plan = recommend.pearson_similarity(frame(spark, data), 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") == 2
