@@ -191,19 +191,20 @@ def oob_predictions(
 ) -> DataFrame:
     """(key, y, est, n_trees): mean prediction of the trees whose resample left the row out.
 
-    The rows are stored once; every tree is fitted on them by its resample weights, and one
-    pass scores them with all trees. Rows that no tree left out are not returned; rows that
-    share a key share their weights and give a row each.
+    The rows are stored once with their weights in every resample; every tree is fitted on
+    them by its weights, and one pass scores them with all trees. Rows that no tree left out
+    are not returned; rows that share a key share their weights and give a row each.
     """
-    rows = cut_lineage(train.select(key, features, y))
+    drawn = F.array(*[bootstrap_weight(key, F.lit(b), seed).cast("tinyint") for b in range(trees)])
+    rows = cut_lineage(train.select(key, features, y, drawn.alias("_weights")))
     scored, left_out = rows, []
     for b in range(trees):
-        weight = bootstrap_weight(key, F.lit(b), seed).cast("double")
+        weight = F.col("_weights")[b]
         tree = RandomForestRegressor(
             featuresCol=features, labelCol=y, predictionCol=f"_p{b}", numTrees=1, bootstrap=False,
             featureSubsetStrategy=str(per_split), maxDepth=depth, seed=seed + b, weightCol="_weight",
         )
-        model = tree.fit(rows.withColumn("_weight", weight).where("_weight > 0"))
+        model = tree.fit(rows.where(weight > 0).select(features, y, weight.cast("double").alias("_weight")))
         scored = model.transform(scored)
         left_out.append(F.when(weight == 0, F.col(f"_p{b}")))
     known = scored.select(key, y, F.filter(F.array(*left_out), lambda p: p.isNotNull()).alias("_p"))

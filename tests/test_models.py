@@ -117,6 +117,14 @@ def test_oob_rows_are_scored_in_one_pass_by_each_tree_that_left_them_out(table):
     assert one and all(low <= r.est <= high for r in one)
 
 
+def test_oob_weights_are_hashed_once_and_stored_with_the_rows(table):
+    again = table.unionByName(table)
+    preds = regress.oob_predictions(again, "id", "features", "y", trees=3, per_split=2, depth=4, seed=3)
+    assert "md5" not in preds._jdf.queryExecution().executedPlan().toString()
+    left_out = split.bootstrap(again.select("id"), "id", 3, seed=3).where("out_of_bag").count()
+    assert preds.agg(F.sum("n_trees")).first()[0] == left_out
+
+
 def test_oob_rows_come_from_left_out_trees(table):
     preds = regress.oob_predictions(table, "id", "features", "y", trees=5, per_split=2, depth=4, seed=3)
     left_out = {
