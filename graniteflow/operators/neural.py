@@ -1,13 +1,15 @@
 """Data-parallel training of small dense networks.
 
-Each step ships the weights (a size fixed by the layer list) to the tasks,
-every task returns one summed gradient, and the sums are added in two levels.
+The rows are turned once into blocks, each a matrix of inputs and one of targets. Each
+step ships the weights (a size fixed by the layer list) to the tasks, every task runs its
+blocks and returns one summed gradient, and the sums are added in two levels.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -16,6 +18,9 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from graniteflow.functions.hashing import hash_int
 
+#: Rows of a block, and numbers of its wider matrix, at most (unless one row has more).
+BLOCK_ROWS, BLOCK_VALUES = 4096, 1 << 18
+
 
 def initial_weights(layers: list[int], seed: int = 0) -> list[np.ndarray]:
     """Glorot-uniform matrices with the bias as the last row."""
@@ -87,23 +92,48 @@ class NetworkModel:
         return (F.array_position(out, F.array_max(out)) - 1).cast("int")
 
 
-def _gradient_sum(rows: DataFrame, weights, loss: str, width: int) -> tuple[float, float, np.ndarray]:
-    """(rows, loss, flat gradient) over all rows."""
-    shared = rows.sparkSession.sparkContext.broadcast(weights)
+def _matrix(column: pa.Array) -> np.ndarray:
+    """The arrays of a batch as float rows; null numbers become NaN, a null array is an error."""
+    widths = np.unique(np.asarray(column.value_lengths().fill_null(-1)))
+    if len(widths) != 1 or widths[0] < 0:
+        raise ValueError(f"rows need arrays of one length, found {widths.tolist()} (-1: null)")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """(_b, n, x, y): inputs and targets of ``n`` rows of a batch number as the bytes of two matrices."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            number, x, y = np.asarray(batch.column(0)), _matrix(batch.column(1)), _matrix(batch.column(2))
+            size = max(1, min(BLOCK_ROWS, BLOCK_VALUES // max(1, x.shape[1], y.shape[1])))
+            for b in np.unique(number):
+                own = np.flatnonzero(number == b)
+                for part in (own[i : i + size] for i in range(0, len(own), size)):
+                    cells = [[int(b)], [len(part)], [x[part].tobytes()], [y[part].tobytes()]]
+                    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds, strict=True)], names=["_b", "n", "x", "y"])
+
+    return rows.select("_b", "x", "y").mapInArrow(run, "_b int, n int, x binary, y binary")
+
+
+def _gradient_sum(blocks: DataFrame, weights, loss: str, width: int) -> tuple[float, float, np.ndarray]:
+    """(rows, loss, flat gradient) over all rows of the blocks."""
+    shared = blocks.sparkSession.sparkContext.broadcast(weights)
 
     def task(batches):
         total = None
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            x, y = np.vstack(pdf["x"].to_numpy()), np.vstack(pdf["y"].to_numpy())
-            value, grads = loss_and_gradient(shared.value, x, y, loss)
-            flat = np.concatenate([[len(pdf), value], *[g.ravel() for g in grads]])
-            total = flat if total is None else total + flat
+        for batch in batches:
+            for n, x, y in zip(*batch.columns, strict=True):
+                n, x, y = n.as_py(), np.frombuffer(x.as_buffer()), np.frombuffer(y.as_buffer())
+                value, grads = loss_and_gradient(shared.value, x.reshape(n, -1), y.reshape(n, -1), loss)
+                flat = np.concatenate([[n, value], *[g.ravel() for g in grads]])
+                total = flat if total is None else total + flat
         if total is not None:
-            yield pd.DataFrame({"g": [total]})
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["g"])
 
-    parts = rows.select("x", "y").mapInPandas(task, "g array<double>").withColumn("v", array_to_vector("g"))
+    parts = blocks.select("n", "x", "y").mapInArrow(task, "g array<double>").withColumn("v", array_to_vector("g"))
     middle = parts.groupBy((F.spark_partition_id() % width).alias("_m")).agg(Summarizer.sum(F.col("v")).alias("v"))
     row = middle.agg(vector_to_array(Summarizer.sum(F.col("v"))).alias("g")).first()
     shared.unpersist()
@@ -120,10 +150,8 @@ def train_network(
     With ``batches`` > 1 rows are dealt by a hash of ``key`` and taken in turn.
     ``alpha`` is the L2 penalty, divided by the rows of the step.
     """
-    rows = df.select(F.col(x).alias("x"), F.col(y).alias("y"), *([F.col(key)] if key else []))
-    if batches > 1:
-        rows = rows.withColumn("_b", (hash_int(key, seed=seed) % batches).cast("int"))
-    rows = rows.persist()
+    number = (hash_int(key, seed=seed) % batches).cast("int") if batches > 1 else F.lit(0)
+    rows = _blocks(df.select(number.alias("_b"), F.col(x).alias("x"), F.col(y).alias("y"))).persist()
     width = max(1, int(np.sqrt(rows.sparkSession.sparkContext.defaultParallelism)))
     weights = initial_weights(layers, seed)
     shapes = [w.shape for w in weights]

@@ -165,6 +165,28 @@ def test_classifier_network_and_autoencoder(table):
     assert rows.select(F.size(auto.predict("x", 0, code)).alias("n")).distinct().collect()[0]["n"] == 2
 
 
+def test_network_rows_are_stored_as_blocks_once(table, monkeypatch):
+    rows = table.select("id", F.array(*COLS).alias("x"), F.array("y").alias("y"), (F.col("id") % 3).cast("int").alias("_b"))
+    monkeypatch.setattr(neural, "BLOCK_ROWS", 7)
+    found = neural._blocks(rows).collect()
+    assert all(r.n <= 7 for r in found) and len(found) < rows.count() / 3
+    pairs = sorted((r._b, *map(float, x), float(y)) for r in found for x, y in zip(
+        np.frombuffer(r.x).reshape(r.n, -1), np.frombuffer(r.y), strict=True))
+    assert pairs == sorted((r._b, *r.x, *r.y) for r in rows.collect())
+    weights = neural.initial_weights([3, 4, 1], 1)
+    x, y = np.array([r.x for r in rows.collect()]), np.array([r.y for r in rows.collect()])
+    value, grads = neural.loss_and_gradient(weights, x, y, "squared")
+    n, total, flat = neural._gradient_sum(neural._blocks(rows), weights, "squared", 2)
+    assert n == len(x) and np.isclose(total, value) and np.allclose(flat, np.concatenate([g.ravel() for g in grads]))
+
+
+def test_network_rows_with_a_null_number_give_nan_and_a_null_array_is_an_error(spark):
+    rows = spark.createDataFrame([(0, [1.0, None], [1.0]), (0, [1.0, 2.0], [3.0])], "_b int, x array<double>, y array<double>")
+    assert np.isnan(np.concatenate([np.frombuffer(r.x) for r in neural._blocks(rows).collect()])).sum() == 1
+    with pytest.raises(Exception, match="arrays of one length"):
+        neural._blocks(rows.unionByName(spark.createDataFrame([(0, None, [1.0])], rows.schema)).coalesce(1)).collect()
+
+
 def test_embed_batch(spark):
     df = spark.createDataFrame([([1.0, 2.0],), ([3.0, 4.0],)], "v array<double>")
     got = [r["e"] for r in df.select(embed_batch("v", lambda: lambda b: b @ np.array([[1.0, 0.0], [1.0, 2.0]]), 2).alias("e")).collect()]
