@@ -93,7 +93,7 @@ class NetworkModel:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    """The arrays of a batch as float rows; null numbers become NaN, a null array is an error."""
+    """The arrays of a batch as float rows; null numbers become NaN, which no step accepts; a null array is an error."""
     widths = np.unique(np.asarray(column.value_lengths().fill_null(-1)))
     if len(widths) != 1 or widths[0] < 0:
         raise ValueError(f"rows need arrays of one length, found {widths.tolist()} (-1: null)")
@@ -130,6 +130,8 @@ def _gradient_sum(blocks: DataFrame, weights, loss: str, width: int) -> tuple[fl
                 value, grads = loss_and_gradient(shared.value, x.reshape(n, -1), y.reshape(n, -1), loss)
                 flat = np.concatenate([[n, value], *[g.ravel() for g in grads]])
                 total = flat if total is None else total + flat
+        if total is not None and np.isnan(total).any():
+            raise ValueError("the gradient is not a number: rows hold nulls or NaN, or the steps diverge")
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["g"])
 

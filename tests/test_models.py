@@ -180,9 +180,11 @@ def test_network_rows_are_stored_as_blocks_once(table, monkeypatch):
     assert n == len(x) and np.isclose(total, value) and np.allclose(flat, np.concatenate([g.ravel() for g in grads]))
 
 
-def test_network_rows_with_a_null_number_give_nan_and_a_null_array_is_an_error(spark):
+def test_network_rows_with_a_null_number_or_a_null_array_are_errors(spark):
     rows = spark.createDataFrame([(0, [1.0, None], [1.0]), (0, [1.0, 2.0], [3.0])], "_b int, x array<double>, y array<double>")
     assert np.isnan(np.concatenate([np.frombuffer(r.x) for r in neural._blocks(rows).collect()])).sum() == 1
+    with pytest.raises(Exception, match="not a number"):
+        neural._gradient_sum(neural._blocks(rows), neural.initial_weights([2, 1]), "squared", 1)
     with pytest.raises(Exception, match="arrays of one length"):
         neural._blocks(rows.unionByName(spark.createDataFrame([(0, None, [1.0])], rows.schema)).coalesce(1)).collect()
 
