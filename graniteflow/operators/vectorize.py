@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graniteflow.functions.hashing import hash_unit
+from graniteflow.session import cut_lineage, small_side
 
 
 def _pair_counts(tokens: DataFrame, doc: str, term: str) -> DataFrame:
@@ -28,21 +29,27 @@ def count_terms(tokens: DataFrame, doc: str = "doc_id", term: str = "token", min
 
 
 class TfidfModel:
-    """Frozen vocabulary (term, df, n, idf); rows of the result have unit length."""
+    """Frozen vocabulary (term, df, n, idf) of ``n_terms`` rows, if counted; rows of the result have unit length.
 
-    def __init__(self, vocabulary: DataFrame):
-        self.vocabulary = vocabulary
+    Tokens dealt by document are weighted where they lie, past a vocabulary of bounded size.
+    """
+
+    def __init__(self, vocabulary: DataFrame, n_terms: int | None = None):
+        self.vocabulary, self.n_terms = vocabulary, n_terms
 
     @classmethod
     def fit(cls, tokens: DataFrame, docs: DataFrame, doc: str = "doc_id", term: str = "token", min_df: int = 1):
         """``docs`` holds every document once, also those without a legal word."""
         n = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
         idf = F.log((1 + n) / (1 + F.col("df"))) + 1
-        return cls(_frequent(_pair_counts(tokens, doc, term), min_df).withColumn("idf", idf))
+        vocabulary = cut_lineage(_frequent(_pair_counts(tokens, doc, term), min_df).withColumn("idf", idf))
+        return cls(vocabulary, vocabulary.count())
 
     def transform(self, tokens: DataFrame, doc: str = "doc_id", term: str = "token") -> DataFrame:
         """(doc, term, tf, w). Terms outside the vocabulary are dropped."""
-        raw = _pair_counts(tokens, doc, term).join(self.vocabulary.where("n > 0"), "term").withColumn("raw", F.col("tf") * F.col("idf"))
+        known = self.vocabulary.where("n > 0").select("term", "idf")
+        known = known if self.n_terms is None else small_side(known, self.n_terms, 80)
+        raw = _pair_counts(tokens, doc, term).join(known, "term").withColumn("raw", F.col("tf") * F.col("idf"))
         norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc)))
         return raw.select(doc, "term", "tf", (F.col("raw") / norm).alias("w"))
 

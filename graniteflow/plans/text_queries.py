@@ -8,7 +8,7 @@ from graniteflow.functions import text as tx
 from graniteflow.functions.hashing import hash_int
 from graniteflow.operators import ordering, split, vectorize
 from graniteflow.plans.catalog import query
-from graniteflow.session import spread
+from graniteflow.session import partitions_for, spread
 from graniteflow.plans.views import (
     HASHTAGS, LEGAL, TOKENS, doc_tokens, hashtag_rows, legal_tokens, sql_hash, sql_unit, sql_word_vectors,
     with_sql, word_vectors,
@@ -150,7 +150,7 @@ weights AS (SELECT doc_id, term, tf, raw/sqrt(sum(raw*raw) OVER (PARTITION BY do
 
 @query("tfidf", with_sql(WEIGHTS, "SELECT doc_id, term, round(w, 6) AS w FROM weights"))
 def tfidf(t):
-    rows = vectorize.tfidf(legal_tokens(t), t.documents, min_df=3)
+    rows = vectorize.tfidf(legal_tokens(t, together=True), t.documents, min_df=3)
     return rows.select("doc_id", "term", F.round("w", 6).alias("w"))
 
 
@@ -171,7 +171,8 @@ vocab AS (SELECT term, ln((1.0+(SELECT count(*) FROM docs WHERE NOT is_test))/(1
 raw AS (SELECT doc_id, term, tf*idf AS raw FROM counts JOIN vocab USING (term) WHERE is_test)""", """
 SELECT doc_id, term, round(raw/sqrt(sum(raw*raw) OVER (PARTITION BY doc_id)), 6) AS w FROM raw"""))
 def tfidf_frozen(t):
-    docs = split.with_test_flag(t.documents.select("doc_id", "text"), "doc_id", 0.2, seed=11)
+    texts = t.documents.select("doc_id", "text")
+    docs = split.with_test_flag(texts.repartition(partitions_for(texts), "doc_id"), "doc_id", 0.2, seed=11)
     words = lambda d: d.select("doc_id", F.explode(tx.tokens("text")).alias("token"))
     train, test = docs.where(~F.col("is_test")), docs.where("is_test")
     model = vectorize.TfidfModel.fit(words(train), train, min_df=5)

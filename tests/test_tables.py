@@ -140,6 +140,24 @@ def test_tfidf_by_hand_and_frozen_vocabulary(spark):
     assert [(r["term"], r["w"]) for r in model.transform(new).collect()] == [("y", 1.0)]
 
 
+def test_tfidf_weights_tokens_where_their_document_lies(spark):
+    docs = spark.createDataFrame([(i % 40, f"w{i % 7} w{i % 5} x{i % 3}") for i in range(100)] + [(None, "w1 w1"), (50, None)], "doc_id int, text string")
+    words = docs.repartition(4, "doc_id").select("doc_id", F.explode(F.split("text", " ")).alias("token"))
+    out = vectorize.tfidf(words, docs, min_df=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+    n, tf, df = 102, {}, {}
+    for r in docs.collect():
+        for w in (r.text or "").split():
+            tf[r.doc_id, w] = tf.get((r.doc_id, w), 0) + 1
+    for _, w in tf:
+        df[w] = df.get(w, 0) + 1
+    raw = {p: c * (np.log((1 + n) / (1 + df[p[1]])) + 1) for p, c in tf.items() if df[p[1]] >= 2}
+    norm = {d: np.sqrt(sum(v * v for (e, _), v in raw.items() if e == d)) for d, _ in raw}
+    got = {(r.doc_id, r.term): r.w for r in out.collect()}
+    assert got.keys() == raw.keys() and all(np.isclose(got[p], v / norm[p[0]]) for p, v in raw.items())
+
+
 def test_embed_keywords_skips_unknown_words_and_keeps_empty_rows(spark):
     base = spark.createDataFrame([(1,), (2,)], "id int")
     words = spark.createDataFrame([(1, "a"), (1, "b"), (1, "nope")], "id int, word string")
