@@ -161,3 +161,20 @@ def test_users_travel_as_blocks(spark, data):
     """Ratings are packed before homes and guests meet, so a meeting costs a row for each block, not for each rating."""
     plan = recommend.pearson_similarity(frame(spark, data), 3)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("collect_list") == 2
+
+
+def test_bias_rounds_start_without_a_join_and_leave_out_null_keys(spark):
+    cells = [(u, i, float((u * 7 + i * 3) % 9) / 2 + 0.5) for u in range(6) for i in range(5) if (u + i) % 4]
+    train = spark.createDataFrame([*cells, (None, 1, 5.0), (2, None, 4.0)], "user int, item int, rating double")
+    mean, items, users = recommend.bias_tables(train, rounds=1)
+    assert not any("Join" in d._jdf.queryExecution().executedPlan().toString() for d in (items, users))  # stored
+    mean, items, users = recommend.bias_tables(train)
+    cells, bu = [*cells, (None, 1, 5.0), (2, None, 4.0)], None
+    for _ in range(2):
+        rows = [x for x in cells if x[0] is not None]
+        bi = {k: sum(r - mean - (bu[u] if bu else 0) for u, i, r in rows if i == k) / (10 + sum(i == k for _, i, _ in rows)) for k in {i for _, i, _ in rows}}
+        rows = [x for x in cells if x[1] is not None]
+        bu = {k: sum(r - mean - bi[i] for u, i, r in rows if u == k) / (15 + sum(u == k for u, _, _ in rows)) for k in {u for u, _, _ in rows}}
+    got = {r["item"]: r["bi"] for r in items.collect()}, {r["user"]: r["bu"] for r in users.collect()}
+    for found, want in zip(got, (bi, bu), strict=True):
+        assert found.keys() == want.keys() and all(abs(found[k] - v) < 1e-9 for k, v in want.items())
