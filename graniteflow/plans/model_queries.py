@@ -283,7 +283,7 @@ def pipeline_grid(t):
 def text_pipeline(t):
     rows = t.documents.select("doc_id", "text", (F.col("lang") == "en").cast("double").alias("label"))
     train, test = split.split(rows, "doc_id", 0.2, seed=42)
-    model = classify.text_pipeline(LogisticRegression(maxIter=30), reducer="lsi", components=5, rounds=2).fit(train)
+    model = classify.text_pipeline(LogisticRegression(maxIter=30), clean=True, reducer="lsi", components=5, rounds=2).fit(train)
     return metrics.binary_metrics(model.transform(test), "label", "prediction", 1.0)
 
 

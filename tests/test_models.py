@@ -252,6 +252,27 @@ def test_text_pipeline_keeps_empty_documents(spark, settings):
     assert all(r["prediction"] == r["label"] for r in out if r["doc_id"] < 4)
 
 
+def test_text_pipeline_query_cleans_its_texts(spark, tmp_path, monkeypatch):
+    """Half of the texts have their words inside marks only: cleaned, these texts are without a word."""
+    from graniteflow.plans import all_queries
+
+    words = ["apple", "banana", "fruit", "engine", "wheel", "motor"]
+    texts = [f"<b {words[i % 6]} {words[(i + 1) % 6]}>" if i % 2 else f"{words[i % 6]} {words[(i + 2) % 6]} {words[(i + 3) % 6]}" for i in range(120)]
+    rows = [(i, t, "en" if i % 3 else "de") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen, original = [], classify.TextFeaturesModel._transform
+
+    def transform(self, df):
+        out = original(self, df)
+        seen.extend((r["text"], max(map(abs, r["features"]))) for r in out.select("text", "features").collect())
+        return out
+
+    monkeypatch.setattr(classify.TextFeaturesModel, "_transform", transform)
+    assert all_queries()["text_pipeline"](spark, str(tmp_path)).count() == 1
+    marked = [size for text, size in seen if text.startswith("<")]
+    assert marked and not any(marked) and any(size for text, size in seen if not text.startswith("<"))
+
+
 # --------------------------------------------------------------------- tuning
 def test_cross_validation_and_prefix_cache(spark, classes):
     rows = split.with_fold(classes, "id", 2, seed=4)
