@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graniteflow.functions.mathx import safe_corr
-from graniteflow.operators import metrics
+from graniteflow.operators import forest, metrics
 from graniteflow.operators.ordering import running_totals
 from graniteflow.operators.split import bootstrap_weight
 from graniteflow.operators.vectorize import polynomial_vector
@@ -191,10 +191,18 @@ def oob_predictions(
 ) -> DataFrame:
     """(key, y, est, n_trees): mean prediction of the trees whose resample left the row out.
 
-    The rows are stored once with their weights in every resample; every tree is fitted on
-    them by its weights, and one pass scores them with all trees. Rows that no tree left out
-    are not returned; rows that share a key share their weights and give a row each.
+    The rows are stored once with their weights in every resample, and all trees grow on the
+    same bins of the features, each in a task of its own (``forest``). Where the rows have more
+    combinations of bins than a task may hold, the trees are Spark's, fitted one after another.
+    Rows that no tree left out are not returned; rows that share a key share their weights and
+    give a row each.
     """
+    if depth > 30:
+        raise ValueError("trees deeper than 30 levels cannot be grown")
+    named = train.select(F.col(key).alias("key"), F.col(y).alias("y"), vector_to_array(features).alias("x"))
+    found = forest.oob(named, trees, per_split, depth, seed)
+    if found is not None:
+        return found.select(F.col("key").alias(key), F.col("y").alias(y), "est", "n_trees")
     drawn = F.array(*[bootstrap_weight(key, F.lit(b), seed).cast("tinyint") for b in range(trees)])
     rows = cut_lineage(train.select(key, features, y, drawn.alias("_weights")))
     scored, left_out = rows, []

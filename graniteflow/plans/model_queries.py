@@ -220,7 +220,7 @@ def gradient_boosting(t):
 
 @query("oob_error")
 def oob_error(t):
-    preds = regress.oob_predictions(_tree_rows(t), "key", "features", "price", trees=4, per_split=3, depth=6)
+    preds = regress.oob_predictions(_tree_rows(t), "key", "features", "price", trees=150, per_split=3, depth=30)
     return regress.oob_error(preds, "price")
 
 

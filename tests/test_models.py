@@ -134,6 +134,63 @@ def test_oob_rows_come_from_left_out_trees(table):
     assert 0 < regress.oob_error(preds, "y").first()["oob_error"] < 1
 
 
+def _plain_tree(rows, depth, x, y, w):
+    """Best split over all features by trying each, then the same on both sides."""
+    mean = np.average(y[rows], weights=w[rows])
+    best = (1e-9, None)
+    for j in range(x.shape[1]) if depth else ():
+        for cut in np.unique(x[rows, j])[1:]:
+            left, right = rows[x[rows, j] < cut], rows[x[rows, j] >= cut]
+            gain = sum(w[p].sum() * (np.average(y[p], weights=w[p]) - mean) ** 2 for p in (left, right))
+            if gain > best[0] + 1e-9:
+                best = gain, (left, right)
+    return {int(r): mean for r in rows} if best[1] is None else {k: v for p in best[1] for k, v in _plain_tree(p, depth - 1, x, y, w).items()}
+
+
+def test_tree_on_cells_is_the_plain_tree():
+    rng = np.random.default_rng(2)
+    x, w = rng.integers(0, 6, (80, 2)), rng.integers(1, 4, 80).astype(float)
+    y = x[:, 0] * 1.0 + (x[:, 1] > 2) + rng.standard_normal(80)
+    for depth in (1, 3, 30):
+        got = regress.forest.grow(x.astype(np.uint8), w, w * y, 2, depth, np.random.default_rng(0))
+        want = _plain_tree(np.arange(80), depth, x, y, w)
+        assert np.allclose(got, [want[i] for i in range(80)])
+
+
+def test_oob_forest_agrees_with_the_fits_of_spark(spark, monkeypatch):
+    """Values on a grid, a common cell, keys that repeat or are null: as many trees a row, about the same error."""
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 9, (600, 3)).astype(float)
+    x[:200] = 4.0
+    y = x[:, 0] - 0.5 * x[:, 1] + 0.3 * rng.standard_normal(600)
+    rows = [(None if i == 7 else i % 590, *map(float, r), float(t)) for i, (r, t) in enumerate(zip(x, y, strict=True))]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, y double").withColumn("features", array_to_vector(F.array("a", "b", "c")))
+    run = lambda: regress.oob_predictions(df, "id", "features", "y", trees=8, per_split=3, depth=6, seed=1).cache()
+    monkeypatch.setattr(regress.forest, "MANY_ROWS", 3)
+    new = run()
+    monkeypatch.setattr(regress.forest, "CELLS", 0)
+    old = run()
+    trees = lambda t: sorted((r["id"] is None, r["id"], r["y"], r["n_trees"]) for r in t.collect())
+    assert trees(new) == trees(old) and "binned" not in old._jdf.queryExecution().toString()
+    same = np.isclose(*[[r["est"] for r in t.orderBy("id", "y").collect()] for t in (new, old)])
+    assert same.mean() > 0.8  # equal falls in error may be taken at other features
+    errors = [regress.oob_error(t, "y").first()["oob_error"] for t in (new, old)]
+    assert errors[0] == pytest.approx(errors[1], rel=0.05)
+
+
+def test_oob_error_query_grows_the_whole_forest(spark, tmp_path, monkeypatch):
+    """150 trees of up to 30 levels: about 55 trees leave a row out, where all of four trees could."""
+    from graniteflow.plans import all_queries
+
+    lines = [(i, 1, i % 7, float(i % 50), 100.0 * i + 1, 0.01 * (i % 11), 0.01 * (i % 9), "N") for i in range(60)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i, "SMALL", i) for i in range(7)], "p_partkey long, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    seen, original = [], regress.oob_error
+    monkeypatch.setattr(regress, "oob_error", lambda preds, y: (seen.append(preds.agg(F.count(F.lit(1)), F.avg("n_trees")).first()), original(preds, y))[1])
+    assert all_queries()["oob_error"](spark, str(tmp_path)).first()["n_rows"] == 60
+    assert seen[0][0] == 60 and 50 < seen[0][1] < 60
+
+
 def test_network_gradient_matches_finite_differences():
     rng = np.random.default_rng(0)
     for loss, y in (("squared", rng.standard_normal((6, 2))), ("softmax", rng.integers(0, 2, (6, 1)).astype(float))):
