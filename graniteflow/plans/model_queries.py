@@ -25,7 +25,7 @@ DOC_X = ["size", "accents", "spaces"]
 
 def doc_numbers(t):
     n = F.length("text")
-    share = lambda pattern: F.length(F.regexp_replace("text", pattern, "")) / n
+    share = lambda pattern: F.try_divide(F.length(F.regexp_replace("text", pattern, "")), n)
     return spread(t.documents.select("doc_id", "lang", "text")).select(
         "doc_id", "lang", F.ln(n + 1).alias("size"), share("[^àâäçèéêëîïôöùûüßñáíóú]").alias("accents"), share("[^ ]").alias("spaces")
     )
@@ -125,10 +125,11 @@ def one_vs_rest(t):
 
 @query("mlp_classifier")
 def mlp_classifier(t):
-    rows = vectorize.standard_scale(doc_numbers(t), DOC_X).withColumn("x", F.array(*DOC_X))
-    rows = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc").fit(rows).transform(rows)
-    train, test = split.split(rows, "doc_id", 0.2, seed=42)
-    model = neural.mlp_classifier(train, "x", "label", 3, [16], 4, rate=0.05, steps=30)
+    shares = {c: F.when(F.col("size") == 0, 0.0).otherwise(F.col(c)) for c in DOC_X[1:]}  # an empty text has none
+    rows = vectorize.standard_scale(doc_numbers(t).withColumns(shares), DOC_X).withColumn("x", F.array(*DOC_X))
+    index = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc").fit(rows)
+    train, test = split.split(index.transform(rows), "doc_id", 0.2, seed=42)
+    model = neural.mlp_classifier(train, "x", "label", 3, [16], max(4, len(index.labels)), rate=0.05, steps=30)
     scored = test.withColumn("prediction", model.predict_class("x").cast("double"))
     return metrics.macro_metrics(scored, "label", "prediction")
 

@@ -330,6 +330,16 @@ def test_text_pipeline_query_cleans_its_texts(spark, tmp_path, monkeypatch):
     assert marked and not any(marked) and any(size for text, size in seen if not text.startswith("<"))
 
 
+def test_mlp_classifier_query_takes_empty_texts_and_any_number_of_languages(spark, tmp_path):
+    from graniteflow.plans import all_queries
+
+    texts = {"de": "ein schöner tag über land", "en": "one fine day", "es": "un día en españa y más allá del río", "fr": "été à l'hôtel où ça", "it": "una bella giornata di sole"}
+    rows = [(i, texts[lang] * (1 + i % 4) if i else "", lang) for i, lang in enumerate(sorted(texts) * 30)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = all_queries()["mlp_classifier"](spark, str(tmp_path)).first()
+    assert 0 < found["accuracy"] <= 1
+
+
 # --------------------------------------------------------------------- tuning
 def test_cross_validation_and_prefix_cache(spark, classes):
     rows = split.with_fold(classes, "id", 2, seed=4)
