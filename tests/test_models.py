@@ -309,6 +309,30 @@ def test_text_pipeline_keeps_empty_documents(spark, settings):
     assert all(r["prediction"] == r["label"] for r in out if r["doc_id"] < 4)
 
 
+def test_text_features_count_words_once_where_documents_lie(spark, monkeypatch):
+    """The fitted table is counted once and other tables once each; the features are those of the joins, also for keys that repeat."""
+    from graniteflow.operators import sparse
+
+    rng = np.random.default_rng(4)
+    words = ["apple", "banana", "fruit", "engine", "wheel", "motor", "the", "x1"]
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 9))), float(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label double").cache()
+    other = df.where("doc_id < 20").withColumn("doc_id", F.col("doc_id") + 100)
+    other = other.unionByName(spark.createDataFrame([(200, "", 0.0), (201, None, 0.0), (202, "unheard words", 0.0)], df.schema))
+    twice = other.unionByName(other.limit(5))
+    calls, original = [], sparse.term_counts
+    monkeypatch.setattr(sparse, "term_counts", lambda *a: (calls.append(1), original(*a))[1])
+    found = lambda model, t: sorted((r["doc_id"], *r["features"]) for r in model.transform(t).collect())
+    settings = {"clean": True, "min_df": 2, "reducer": "lsi", "components": 2, "rounds": 8}
+    model = classify.TextFeatures(**settings).fit(df)
+    new = [found(model, df), found(model, other), found(model, twice)]
+    assert len(calls) == 2
+    monkeypatch.setattr(classify.TextFeatures, "listed", lambda self, t: None)
+    model = classify.TextFeatures(**settings).fit(df)
+    for a, t in zip(new, (df, other, twice), strict=True):
+        assert np.allclose(a, found(model, t), atol=1e-6)
+
+
 def test_text_pipeline_query_cleans_its_texts(spark, tmp_path, monkeypatch):
     """Half of the texts have their words inside marks only: cleaned, these texts are without a word."""
     from graniteflow.plans import all_queries
